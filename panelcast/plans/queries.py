@@ -59,3 +59,7 @@ def q_lag_rolling_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.dense_panel(spark, sf_dir)
     out = lag_block(p.select("entity", "slot", "t", "y"), "entity", "t", "y", 15)
     return rounded(out.select("entity", "slot", *LAG_COLS), LAG_COLS)
+
+
+# The other query modules register themselves on import (they import helpers from here).
+from panelcast.plans import q_features  # noqa: E402,F401
