@@ -11,6 +11,8 @@ from panelcast.operators.impute import (collect_medians, fill_medians, impute_fr
 from panelcast.operators.indexer import apply_codes, cell_table, code_tables, interaction_codes
 from panelcast.operators.lags import lag_block
 from panelcast.schema import PanelSpec
+from panelcast.session import cut_lineage
+from panelcast.sources import fixtures as fx
 
 
 def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_lags: bool = True) -> DataFrame:
@@ -35,3 +37,15 @@ def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_la
     if with_lags:
         p = lag_block(p, spec.entity, "t", spec.target, spec.step_minutes)
     return p
+
+
+_MATERIALIZED: dict[tuple, DataFrame] = {}
+
+
+def materialized_features(spark, sf_dir: str, spec: PanelSpec = fx.EVENTS_SPEC) -> DataFrame:
+    """R1 on the events panel, checkpointed once per (session, folder, spec) and reused by
+    every fold / encoding plan built on top of it (the lineage is cut at R1)."""
+    key = (id(spark.sparkContext._jsc), sf_dir, spec)
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = cut_lineage(build_base_features(fx.cell_panel(spark, sf_dir), spec))
+    return _MATERIALIZED[key]

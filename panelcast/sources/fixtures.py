@@ -141,8 +141,8 @@ ev AS (
 )"""
 
 CELL_PANEL_SQL = f"""{EVENT_SLOTS_SQL},
-g AS (SELECT u, slot, CAST(SUM(v) AS DOUBLE) / 1000 AS d, MAX(k) AS k FROM ev GROUP BY u, slot),
-g2 AS (SELECT *, slot // 96 AS dday, slot % 96 AS q FROM g),
+cp_agg AS (SELECT u, slot, CAST(SUM(v) AS DOUBLE) / 1000 AS d, MAX(k) AS k FROM ev GROUP BY u, slot),
+cp_slots AS (SELECT *, slot // 96 AS dday, slot % 96 AS q FROM cp_agg),
 panel AS (
   SELECT CAST(u * 4096 + slot AS BIGINT) AS "Index",
          'qp' || {_b32_sql('(u // 1024) % 32')} || {_b32_sql('u % 4')} || {_b32_sql('(u // 4) % 8')}
@@ -159,7 +159,7 @@ panel AS (
          CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(10 + k % 25 AS DOUBLE) END AS "Temperature",
          ['{"','".join(WEATHERS)}'][CAST(dday % 3 AS INTEGER) + 1] AS "Weather",
          CASE WHEN slot <= {LABEL_LAST_SLOT} THEN 'train' ELSE 'test' END AS split
-  FROM g2
+  FROM cp_slots
 )"""
 
 DENSE_PANEL_SQL = f"""{EVENT_SLOTS_SQL},
