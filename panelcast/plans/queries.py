@@ -64,3 +64,4 @@ def q_lag_rolling_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The other query modules register themselves on import (they import helpers from here).
 from panelcast.plans import q_features  # noqa: E402,F401
 from panelcast.plans import q_encode  # noqa: E402,F401
+from panelcast.plans import q_models  # noqa: E402,F401
