@@ -65,3 +65,4 @@ def q_lag_rolling_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 from panelcast.plans import q_features  # noqa: E402,F401
 from panelcast.plans import q_encode  # noqa: E402,F401
 from panelcast.plans import q_models  # noqa: E402,F401
+from panelcast.plans import q_profile  # noqa: E402,F401
