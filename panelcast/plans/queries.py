@@ -66,3 +66,5 @@ from panelcast.plans import q_features  # noqa: E402,F401
 from panelcast.plans import q_encode  # noqa: E402,F401
 from panelcast.plans import q_models  # noqa: E402,F401
 from panelcast.plans import q_profile  # noqa: E402,F401
+from panelcast.plans import q_jobs  # noqa: E402,F401
+from panelcast.plans import q_supplier  # noqa: E402,F401
