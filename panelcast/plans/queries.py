@@ -68,3 +68,4 @@ from panelcast.plans import q_models  # noqa: E402,F401
 from panelcast.plans import q_profile  # noqa: E402,F401
 from panelcast.plans import q_jobs  # noqa: E402,F401
 from panelcast.plans import q_supplier  # noqa: E402,F401
+from panelcast.plans import q_extra  # noqa: E402,F401
