@@ -226,7 +226,7 @@ def q_row_fallback_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("Index", "te_rt_hr"), ["te_rt_hr"])
 
 
-@query("cross_period_scale", "A8 P15",
+@query("cross_period_scale", "A8 J5 P15",
        _panel_sql(FEAT_SQL) + f""",
 per AS (SELECT geohash, hour, avg(CASE WHEN day >= 12 THEN demand END) AS tg,
                avg(CASE WHEN day < 12 THEN demand END) AS rf

@@ -156,7 +156,7 @@ def q_cell_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 _VC = pf.PROFILE_CATEGORICALS
 
 
-@query("value_counts", "A22 J9", _panel_sql() + """,
+@query("value_counts", "A22 J9 R3", _panel_sql() + """,
 n AS (SELECT count(*) FILTER (WHERE split = 'train') AS na, count(*) FILTER (WHERE split = 'test') AS nb FROM panel),
 vc AS (""" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, split FROM panel" for c in _VC) + """)
