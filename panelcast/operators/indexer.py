@@ -23,11 +23,20 @@ def category_text(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY))
 
 
-def code_tables(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """C1 (fit): long table (column, value, code)."""
-    pairs = df.select(F.explode(F.array(*[
+def value_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct (column, value-as-text) pairs of ``cols``."""
+    return df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), category_text(c).alias("value")) for c in cols])).alias("_p")
     ).select("_p.column", "_p.value").distinct()
+
+
+def code_tables(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """C1 (fit): long table (column, value, code)."""
+    return codes_from_pairs(value_pairs(df, cols))
+
+
+def codes_from_pairs(pairs: DataFrame) -> DataFrame:
+    """Codes 0.. per column in ascending value order, from distinct (column, value) pairs."""
     ordered = global_ordinal(pairs, ["column", "value"], name="_pos")
     first = ordered.groupBy("column").agg(F.min("_pos").alias("_first"))
     return (ordered.join(F.broadcast(first), "column")   # one row per encoded column

@@ -15,6 +15,10 @@ in one task's memory.  Here the work is split:
 
 Every window is partitioned by the group *and* the bucket, so no task sees more than one
 bucket of one group.  The result is exact; the sketch only decides where to cut.
+
+Groups with at most ``hot_rows`` rows (almost all of them) skip the bucketing: one grouped
+aggregation keeps their values as a sorted array — bounded by ``hot_rows`` — and picks the
+ranks from it.  Only the few hot groups take the bucketed path.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 BUCKETS = 512
 SKETCH_ACCURACY = 20_000
 
@@ -47,11 +51,29 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
     else:
         gkeys = keys
 
+    sizes = v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_rows).select(*gkeys)          # at most rows / hot_rows groups
+    small_v = v.join(hot, gkeys, "left_anti")
+    arr = F.sort_array(F.collect_list("_v"))                           # <= hot_rows values per group
+    small = small_v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"),
+                                        *([F.sum("_v").alias("_sum")] if with_sum else []), arr.alias("_arr"))
+    picks = []
+    for name, fn in ranks.items():
+        r = fn(F.col("_n")).cast("bigint")
+        picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
+    small = small.select(*gkeys, "_n", *(["_sum"] if with_sum else []), *picks)
+    big = _bucketed(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum, buckets)
+    out = small.unionByName(big)
+    return out.drop("_g") if not keys else out
+
+
+def _bucketed(v: DataFrame, gkeys: list[str], ranks: Mapping[str, RankFn], with_sum: bool,
+              buckets: int) -> DataFrame:
+    """Order statistics of hot groups: sketch bounds -> value buckets -> scan target buckets."""
     d = v.groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     sizes = d.groupBy(*gkeys).agg(F.sum("_c").alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select(*gkeys)
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = (v.join(hot, gkeys, "left_semi").groupBy(*gkeys)
+    bounds = (v.groupBy(*gkeys)
               .agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds")))
     db = (d.join(bounds, gkeys, "left")
           .withColumn("_b", F.when(F.col("_bounds").isNull(), F.lit(0))
@@ -81,7 +103,7 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
     totals = d.groupBy(*gkeys).agg(F.sum("_c").alias("_n"),
                                    *([F.sum(F.col("_v") * F.col("_c")).alias("_sum")] if with_sum else []))
     out = totals.join(picked, gkeys, "left")
-    return out.drop("_g") if not keys else out
+    return out
 
 
 # --- rank helpers -----------------------------------------------------------

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.timefeat import add_time_features
-from panelcast.operators.impute import (collect_medians, fill_medians, impute_from_map, numeric_medians,
-                                        unambiguous_map)
-from panelcast.operators.indexer import apply_codes, cell_table, code_tables, interaction_codes
+from panelcast.operators.impute import collect_medians, fill_medians, numeric_medians, unambiguous_map
+from panelcast.operators.indexer import apply_codes, cell_table, codes_from_pairs, interaction_codes, value_pairs
 from panelcast.operators.lags import lag_block
-from panelcast.schema import PanelSpec
+from panelcast.schema import MISSING_ROAD, PanelSpec
 from panelcast.session import cut_lineage
 from panelcast.sources import fixtures as fx
 
@@ -23,15 +22,39 @@ def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_la
     the lag block cannot read an unlabelled target.
     """
     p = add_time_features(panel, spec)
-    p = p.join(cell_table(p, spec.entity), spec.entity, "left")
+    e, road = spec.entity, spec.road
+    has_road = road in p.columns
     labelled = p.where(F.col(spec.split) == spec.labelled)
-    if spec.road in p.columns:
-        p = impute_from_map(p, unambiguous_map(labelled, spec.entity, spec.road), spec.entity, spec.road)
+    # Everything that depends only on the cell lives in ONE per-cell table (centre, prefixes,
+    # cell/prefix codes, unambiguous RoadType), joined to the rows once.
+    cells = cell_table(p, e)
+    if has_road:
+        rmap = unambiguous_map(labelled, e, road).withColumnRenamed(road, "_mapped_road")
+        cells = cells.join(rmap, e, "left")
+    cell_cols = [c for c in (e, "prefix5", "prefix4") if c in spec.le_cols]
+    row_cols = [c for c in spec.le_cols if c in p.columns and c not in cell_cols]
+    # One label-code fit for every column.  The imputed RoadType values come from the small
+    # distinct (cell, RoadType) table, so the fit never needs the joined rows.
+    pairs = value_pairs(cells, cell_cols)
+    plain = [c for c in row_cols if c != road]
+    if plain:
+        pairs = pairs.unionByName(value_pairs(p, plain))
+    if has_road and road in row_cols:
+        imputed = (p.select(e, road).distinct().join(rmap, e, "left")
+                   .select(F.coalesce(F.col(road), F.col("_mapped_road"), F.lit(MISSING_ROAD)).alias(road)))
+        pairs = pairs.unionByName(value_pairs(imputed, [road]))
+    codes = codes_from_pairs(pairs)
+    p = p.join(apply_codes(cells, codes, cell_cols), e, "left")
+    if has_road:
+        p = (p.withColumn("roadtype_was_missing", F.col(road).isNull().cast("bigint"))
+             .withColumn(road, F.coalesce(F.col(road), F.col("_mapped_road"), F.lit(MISSING_ROAD)))
+             .drop("_mapped_road"))
     if spec.numeric:
         medians = collect_medians(numeric_medians(p.where(F.col(spec.split) == spec.labelled), spec.numeric))
         p = fill_medians(p, medians)
-    le_cols = [c for c in spec.le_cols if c in p.columns]
-    p = apply_codes(p, code_tables(p, le_cols), le_cols)
+    # row-level categoricals have a handful of values each: tiny lookups (broadcast by AQE)
+    if row_cols:
+        p = apply_codes(p, codes, row_cols)
     if "RoadType_le" in p.columns and "Weather_le" in p.columns:
         p = interaction_codes(p)
     if with_lags:
@@ -47,5 +70,6 @@ def materialized_features(spark, sf_dir: str, spec: PanelSpec = fx.EVENTS_SPEC)
     every fold / encoding plan built on top of it (the lineage is cut at R1)."""
     key = (id(spark.sparkContext._jsc), sf_dir, spec)
     if key not in _MATERIALIZED:
-        _MATERIALIZED[key] = cut_lineage(build_base_features(fx.cell_panel(spark, sf_dir), spec))
+        panel = cut_lineage(fx.cell_panel(spark, sf_dir))      # the input table, stored once
+        _MATERIALIZED[key] = cut_lineage(build_base_features(panel, spec))
     return _MATERIALIZED[key]

@@ -13,6 +13,7 @@ from panelcast.plans.catalog import query, rnd, rounded, rsql
 from panelcast.plans.features import build_base_features
 from panelcast.plans.queries import TIME_SQL, _lag_sql, _panel_sql
 from panelcast.schema import BASE_COLS, LAG_COLS
+from panelcast.session import cut_lineage
 from panelcast.sources import fixtures as fx
 
 TRIG = ("sin_hour", "cos_hour", "sin_tod", "cos_tod", "sin_dow", "cos_dow")
@@ -245,7 +246,8 @@ FROM b JOIN lags l USING ("Index")"""
 @query("base_features", "R1 P18 U1 J10", _base_features_sql())
 def q_base_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole base feature table (27 base + 9 lag columns) for both splits."""
-    feats = build_base_features(fx.cell_panel(spark, sf_dir), fx.EVENTS_SPEC)
+    # the input panel is stored once (as a real input file would be); the fits then scan it
+    feats = build_base_features(cut_lineage(fx.cell_panel(spark, sf_dir)), fx.EVENTS_SPEC)
     out = feats.select("Index", *BASE_COLS, *LAG_COLS)
     out = rounded(out, list(_BASE_DOUBLES) + list(LAG_COLS))
     return out.withColumns({c: F.col(c).cast("bigint") for c in BASE_COLS if c not in _BASE_DOUBLES})
