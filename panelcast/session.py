@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +55,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    The plan above is cut (later jobs start from the files, and a lost executor re-reads
+    them instead of recomputing the lineage).  Parquet is used instead of an RDD checkpoint
+    because it is columnar and compressed; RDD checkpoints serialise every row object."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/panelcast-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
