@@ -247,8 +247,9 @@ def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = materialized_features(spark, sf_dir, SPEC)
     vr = fold_rows(feats, SPEC, 5, include_test=False).where(F.col("role") == "val")
     from panelcast.plans.training import sweep_table, sweep_scores
-    trials = spark.range(40).withColumnRenamed("id", "trial")
-    tp = vr.select("fold", "Index", F.col("demand").alias("y")).join(F.broadcast(trials))  # 40-row table
+    # every validation row once per trial: an explode, not a cross join
+    tp = vr.select("fold", "Index", F.col("demand").alias("y"),
+                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(39).cast("bigint"))).alias("trial"))
     tp = tp.withColumn("p", clip(F.col("y") * 0.8 + ((F.col("Index") * (F.col("fold") + 3)) % 97) / 970.0
                                  - 0.02 + F.col("trial") * 0.001, 0.0, 1.0))
     per = r2(tp, "y", "p", by=["trial", "fold"])

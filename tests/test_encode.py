@@ -70,3 +70,17 @@ def test_ratio_clip(spark):
     out = {r["e"]: r["scale"] for r in
            period_scale(df, "e", "slot", "y", ref=F.col("day") == 0, target=F.col("day") == 1).collect()}
     assert out == {"a": 5.0, "b": 0.2, "c": pytest.approx(3.0)}
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: the bucketed path gives the brute-force answer."""
+    rng = np.random.default_rng(9)
+    data = [(i, 0, "train", "hot" if i % 3 == 0 else f"k{i % 7}", float(np.round(rng.random(), 3)))
+            for i in range(300)]
+    data += [(1000, 0, "test", "hot", None)]
+    r = _enc(_rows(spark, data), hot_rows=20, buckets=4)
+    hot = [y for _, _, ro, k, y in data if k == "hot" and ro == "train"]
+    assert r[(1000, 0)]["te_med"] == pytest.approx(float(np.median(hot)))
+    assert r[(1000, 0)]["te_mean"] == pytest.approx(float(np.mean(hot)))
+    own = next(x for x in data if x[3] == "hot")
+    assert r[(own[0], 0)]["te_med"] == pytest.approx(float(np.median(hot)))   # n > 20: group median
