@@ -4,17 +4,18 @@ Spark's ``percentile``/``median`` keep one value->count map per group and merge
 single task, so one huge group (a hot key, or the global median over all rows) ends up
 in one task's memory.  Here the work is split:
 
-1. ``D``  = distinct (group, value) with their counts — a partial aggregation, so a value
-   that repeats a billion times collapses map-side.
-2. Groups with more than ``hot_rows`` rows get ``buckets`` value boundaries from
-   ``percentile_approx`` (a bounded, mergeable sketch).  Every other group is one bucket.
+1. Groups with more than ``hot_rows`` rows get ``buckets`` value boundaries from
+   ``percentile_approx`` (a bounded, mergeable sketch).
+2. ``D`` = distinct (group, bucket, value) with their counts — a partial aggregation, so a
+   value that repeats a billion times collapses map-side.
 3. Per (group, bucket) counts and a running sum over the (small) bucket table give the
    rank range of each bucket.
 4. Only the buckets that contain a requested rank are scanned; inside them a running
-   count over the distinct values finds the exact value at each rank.
+   count over the distinct values finds the exact value at each rank.  A target bucket with
+   more than ``hot_rows`` distinct values is bucketed again (recursively).
 
 Every window is partitioned by the group *and* the bucket, so no task sees more than one
-bucket of one group.  The result is exact; the sketch only decides where to cut.
+bounded bucket of one group.  The result is exact; the sketch only decides where to cut.
 
 Groups with at most ``hot_rows`` rows (almost all of them) skip the bucketing: one grouped
 aggregation keeps their values as a sorted array — bounded by ``hot_rows`` — and picks the
@@ -62,48 +63,67 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
         r = fn(F.col("_n")).cast("bigint")
         picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
     small = small.select(*gkeys, "_n", *(["_sum"] if with_sum else []), *picks)
-    big = _bucketed(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum, buckets)
+    big = _hot_groups(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum, hot_rows, buckets)
     out = small.unionByName(big)
     return out.drop("_g") if not keys else out
 
 
-def _bucketed(v: DataFrame, gkeys: list[str], ranks: Mapping[str, RankFn], with_sum: bool,
-              buckets: int) -> DataFrame:
-    """Order statistics of hot groups: sketch bounds -> value buckets -> scan target buckets."""
-    d = v.groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = d.groupBy(*gkeys).agg(F.sum("_c").alias("_n"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = (v.groupBy(*gkeys)
-              .agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds")))
-    db = (d.join(bounds, gkeys, "left")
-          .withColumn("_b", F.when(F.col("_bounds").isNull(), F.lit(0))
-                      .otherwise(F.size(F.filter("_bounds", lambda x: x <= F.col("_v")))))
-          .drop("_bounds"))
-
-    per_bucket = db.groupBy(*gkeys, "_b").agg(F.sum("_c").alias("_cb"))
-    wg = Window.partitionBy(*gkeys)
-    per_bucket = (per_bucket
-                  .withColumn("_off", F.coalesce(F.sum("_cb").over(
-                      wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("_n", F.sum("_cb").over(wg)))
-    wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).cast("bigint").alias("rank"))
-                       for name, fn in ranks.items()])
-    targets = (per_bucket.select(*gkeys, "_b", "_off", "_cb", F.explode(wanted).alias("_r"))
-               .where((F.col("_r.rank") >= F.col("_off")) & (F.col("_r.rank") < F.col("_off") + F.col("_cb")))
-               .select(*gkeys, "_b", F.col("_r.name").alias("_name"),
-                       (F.col("_r.rank") - F.col("_off")).alias("_local")))
+MAX_DEPTH = 4
 
-    scan = db.join(targets.select(*gkeys, "_b").distinct(), gkeys + ["_b"], "left_semi")
-    scan = scan.withColumn("_cum", F.sum("_c").over(
-        Window.partitionBy(*gkeys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-    hits = (scan.join(targets, gkeys + ["_b"])
-            .where((F.col("_cum") - F.col("_c") <= F.col("_local")) & (F.col("_local") < F.col("_cum"))))
+
+def _hot_groups(v: DataFrame, gkeys: list[str], ranks: Mapping[str, RankFn], with_sum: bool,
+                hot_rows: int, buckets: int) -> DataFrame:
+    """Order statistics of the hot groups (same output columns as the small path)."""
+    totals = v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"),
+                                   *([F.sum("_v").alias("_sum")] if with_sum else []))
+    wanted = F.array(*[F.struct(F.lit(name).alias("_name"), fn(F.col("_n")).cast("bigint").alias("_rank"))
+                       for name, fn in ranks.items()])
+    wants = (totals.select(*gkeys, F.explode(wanted).alias("_w")).select(*gkeys, "_w._name", "_w._rank")
+             .join(totals.select(*gkeys, "_n"), gkeys)
+             .where((F.col("_rank") >= 0) & (F.col("_rank") < F.col("_n"))).drop("_n"))
+    hits = _bucketed(v, gkeys, wants, hot_rows, buckets, 0)
     picked = hits.groupBy(*gkeys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name)
                                         for name in ranks])
-    totals = d.groupBy(*gkeys).agg(F.sum("_c").alias("_n"),
-                                   *([F.sum(F.col("_v") * F.col("_c")).alias("_sum")] if with_sum else []))
-    out = totals.join(picked, gkeys, "left")
-    return out
+    return totals.join(picked, gkeys, "left")
+
+
+def _bucketed(v: DataFrame, gkeys: list[str], wants: DataFrame, hot_rows: int, buckets: int,
+              depth: int) -> DataFrame:
+    """Values at the requested ranks: ``wants`` = (gkeys, _name, _rank) -> (gkeys, _name, _v).
+
+    Value buckets come from the ``percentile_approx`` sketch of each group.  A bucket that
+    holds a requested rank is scanned in order if it has at most ``hot_rows`` DISTINCT values;
+    otherwise it is bucketed again (its own sketch), so every task stays bounded however large
+    the group.  Counting distinct values guarantees progress: a bucket of one repeated value
+    is always small."""
+    b = f"_b{depth}"
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = v.groupBy(*gkeys).agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds"))
+    vb = (v.join(bounds, gkeys)            # one row of bounds per hot group
+          .withColumn(b, F.size(F.filter("_bounds", lambda x: x <= F.col("_v")))).drop("_bounds"))
+    d = vb.groupBy(*gkeys, b, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    per_bucket = d.groupBy(*gkeys, b).agg(F.sum("_c").alias("_cb"), F.count(F.lit(1)).alias("_db"))
+    per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_cb").over(
+        Window.partitionBy(*gkeys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    targets = (per_bucket.join(wants, gkeys)
+               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cb")))
+               .select(*gkeys, b, "_name", (F.col("_rank") - F.col("_off")).alias("_local"), "_db"))
+    deep = (targets.where(F.col("_db") > hot_rows) if depth + 1 < MAX_DEPTH
+            else targets.where(F.lit(False)))
+    flat = targets.where(F.col("_db") <= hot_rows) if depth + 1 < MAX_DEPTH else targets
+
+    scan = d.join(flat.select(*gkeys, b).distinct(), gkeys + [b], "left_semi")
+    scan = scan.withColumn("_cum", F.sum("_c").over(
+        Window.partitionBy(*gkeys, b).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    hits = (scan.join(flat.drop("_db"), gkeys + [b])
+            .where((F.col("_cum") - F.col("_c") <= F.col("_local")) & (F.col("_local") < F.col("_cum")))
+            .select(*gkeys, "_name", "_v"))
+    if deep.limit(1).count():
+        sub_v = vb.join(deep.select(*gkeys, b).distinct(), gkeys + [b], "left_semi")
+        sub_wants = deep.select(*gkeys, b, "_name", F.col("_local").alias("_rank"))
+        sub = _bucketed(sub_v, gkeys + [b], sub_wants, hot_rows, buckets, depth + 1)
+        hits = hits.unionByName(sub.select(*gkeys, "_name", "_v"))
+    return hits
 
 
 # --- rank helpers -----------------------------------------------------------

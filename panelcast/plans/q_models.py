@@ -331,14 +331,15 @@ m AS (SELECT var_samp(roll_mean_4) AS s11, var_samp(lag_96) AS s22, covar_samp(r
              avg(lag_96) AS m2, count(*) AS n FROM s),
 b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b_pred,
              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b_lag, my, m1, m2, n FROM m)
-SELECT """ + rsql("b_pred", 5) + " AS b_pred, " + rsql("b_lag", 5) + " AS b_lag, " + rsql(
-    "my - b_pred * m1 - b_lag * m2", 5) + " AS intercept, CAST(n AS BIGINT) AS n FROM b")
+SELECT """ + rsql("b_pred", 4) + " AS b_pred, " + rsql("b_lag", 4) + " AS b_lag, " + rsql(
+    "my - b_pred * m1 - b_lag * m2", 4) + " AS intercept, CAST(n AS BIGINT) AS n FROM b")
 def q_stack_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OLS of y on (roll_mean_4 as the model prediction, lag_96) in closed form."""
     d = _dense_lags(spark, sf_dir).where(F.col("roll_mean_4").isNotNull())
     st = stack_ols(d, "y", "roll_mean_4", "lag_96")
-    return st.select(rnd("b_pred", 5).alias("b_pred"), rnd("b_lag", 5).alias("b_lag"),
-                     rnd("intercept", 5).alias("intercept"), "n")
+    # two-regressor fits are ill-conditioned on small panels: compare 4 decimals
+    return st.select(rnd("b_pred", 4).alias("b_pred"), rnd("b_lag", 4).alias("b_lag"),
+                     rnd("intercept", 4).alias("intercept"), "n")
 
 
 @query("lag_signal", "A36", DENSE_LAG_SQL + "SELECT " + ", ".join(

@@ -48,3 +48,14 @@ def test_loo_median_closed_form_groups_1_2_20_21(spark):
             rest.remove(r["y"])
             assert r["loo"] == pytest.approx(float(np.median(rest)))
         assert r["gm"] == pytest.approx(float(np.median(vals)))
+
+
+def test_recursive_buckets_with_ties(spark):
+    """Tiny thresholds force several bucketing levels; repeated values must not loop."""
+    rng = np.random.default_rng(21)
+    vals = list(np.round(rng.normal(size=400), 4)) + [0.5] * 300
+    df = spark.createDataFrame([(float(v),) for v in vals], "y double")
+    probs = [0.0, 0.25, 0.5, 0.73, 1.0]
+    got = exact_quantiles(df, [], "y", probs, [f"q{i}" for i in range(5)], hot_rows=6, buckets=3).first()
+    for i, p in enumerate(probs):
+        assert got[f"q{i}"] == pytest.approx(float(np.quantile(vals, p)))
