@@ -63,9 +63,12 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
         r = fn(F.col("_n")).cast("bigint")
         picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
     small = small.select(*gkeys, "_n", *(["_sum"] if with_sum else []), *picks)
-    big = _hot_groups(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum, hot_rows, buckets)
-    out = small.unionByName(big)
-    return out.drop("_g") if not keys else out
+    # One cheap pass decides whether the bucketed branch is needed at all; without hot groups
+    # the plan is just the grouped small path.
+    if hot.limit(1).count():
+        small = small.unionByName(_hot_groups(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum,
+                                              hot_rows, buckets))
+    return small.drop("_g") if not keys else small
 
 
 MAX_DEPTH = 4
