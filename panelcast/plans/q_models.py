@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions.timefeat import add_time_features
+
 from panelcast.operators.blend import blend, complete_families, fold_average, oof_assembly
 from panelcast.operators.checks import duplicate_keys, id_report, range_report, shape_report
 from panelcast.operators.crossperiod import (calibrate, clip, median_ratio_baseline, seasonal_baseline,
@@ -86,7 +88,7 @@ def _calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     test_ids = panel.where(F.col("split") == "test").select(F.col("Index").alias("row_id"), "geohash")
     fa = fold_average(preds.join(test_ids.select("row_id"), "row_id"))
     bl = blend(fa, pr.weights_table(spark)).join(test_ids, "row_id")
-    scale = cross_period_scale(materialized_features(spark, sf_dir, SPEC), SPEC)
+    scale = cross_period_scale(add_time_features(panel), SPEC)   # needs cell, hour, day, target only
     cal = calibrate(bl, scale, "geohash", "pred", alpha=0.2)
     return cal.select(F.col("row_id").alias("Index"), F.col("pred").alias("demand"))
 
