@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.orderstats import exact_median
+from panelcast.operators.rows import combine_rows, scalar
 from panelcast.schema import CALIBRATION_ALPHA, SCALE_CLIP, SCALE_DENOM_FLOOR
 
 
@@ -41,11 +42,12 @@ def scale_summary(scale: DataFrame) -> DataFrame:
     """Number of entities, unweighted mean and exact median of the scale."""
     mean = scale.agg(F.count(F.lit(1)).cast("bigint").alias("cells"), F.avg("scale").alias("mean_scale"))
     med = exact_median(scale, [], "scale", "median_scale")
-    return mean.withColumn("_one", F.lit(1)).join(med.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return combine_rows(mean, med)
 
 
-def _with_mean_scale(scale: DataFrame) -> DataFrame:
-    return scale.agg(F.avg("scale").alias("_gscale")).withColumn("_one", F.lit(1))
+def _mean_scale(scale: DataFrame):
+    """The unweighted mean scale over entities (a one-row statistic)."""
+    return F.lit(scalar(scale.agg(F.avg("scale").alias("_gscale")), "_gscale")).cast("double")
 
 
 def scale_feature(rows: DataFrame, scale: DataFrame | None, entity: str, day: str, target_day: int,
@@ -53,24 +55,22 @@ def scale_feature(rows: DataFrame, scale: DataFrame | None, entity: str, day: st
     """P17 + J7: 1.0 before the target period; else the entity's scale, else the mean scale."""
     if scale is None:
         return rows.withColumn(out, F.lit(1.0))
-    g = F.broadcast(_with_mean_scale(scale))          # one row
-    j = (rows.withColumn("_one", F.lit(1)).join(g, "_one")
-         .join(scale.select(entity, F.col("scale").alias("_sc")), entity, "left"))
+    g = _mean_scale(scale)
+    j = rows.join(scale.select(entity, F.col("scale").alias("_sc")), entity, "left")
     return (j.withColumn(out, F.when(F.col(day) < target_day, F.lit(1.0))
-                         .otherwise(F.coalesce(F.col("_sc"), F.col("_gscale"))))
-            .drop("_one", "_gscale", "_sc"))
+                         .otherwise(F.coalesce(F.col("_sc"), g)))
+            .drop("_sc"))
 
 
 def calibrate(preds: DataFrame, scale: DataFrame, entity: str, pred: str,
               alpha: float = CALIBRATION_ALPHA, out: str | None = None) -> DataFrame:
     """M9: pred * (alpha*scale + 1 - alpha), scale from the entity lookup with the mean as
     fallback, clipped to [0, 1]."""
-    g = F.broadcast(_with_mean_scale(scale))
-    j = (preds.withColumn("_one", F.lit(1)).join(g, "_one")
-         .join(scale.select(entity, F.col("scale").alias("_sc")), entity, "left"))
-    mult = F.lit(alpha) * F.coalesce(F.col("_sc"), F.col("_gscale")) + F.lit(1.0 - alpha)
+    g = _mean_scale(scale)
+    j = preds.join(scale.select(entity, F.col("scale").alias("_sc")), entity, "left")
+    mult = F.lit(alpha) * F.coalesce(F.col("_sc"), g) + F.lit(1.0 - alpha)
     return (j.withColumn(out or pred, clip(F.col(pred) * mult, 0.0, 1.0))
-            .withColumn("multiplier", mult).drop("_one", "_gscale", "_sc"))
+            .withColumn("multiplier", mult).drop("_sc"))
 
 
 def lag_deviation(rows: DataFrame, lag: str = "lag_96", ref: str = "te_gh_tod_mean",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.orderstats import exact_median, exact_quantiles
+from panelcast.operators.rows import combine_rows
 
 DECILES = tuple(i / 10 for i in range(11))
 HIST_BINS = 80
@@ -68,7 +69,7 @@ def target_summary(df: DataFrame, y: str) -> DataFrame:
                  F.bool_and(F.abs(F.col(y) - trunc) <= 1e-8 + 1e-5 * F.abs(trunc)).alias("integer_valued"),
                  n.cast("bigint").alias("n"))
     med = exact_median(d, [], y, "median")
-    return base.withColumn("_o", F.lit(1)).join(med.withColumn("_o", F.lit(1)), "_o").drop("_o")
+    return combine_rows(base, med)
 
 
 def deciles(df: DataFrame, y: str, probs: Sequence[float] = DECILES) -> DataFrame:
@@ -83,8 +84,8 @@ def histogram(df: DataFrame, y: str, bins: int = HIST_BINS, log1p: bool = False)
     """Equal-width bins over [min, max] (the max falls in the last bin): (bin, lo, hi, count)."""
     x = F.log1p(y) if log1p else F.col(y)
     d = df.where(F.col(y).isNotNull()).select(x.alias("_x"))
-    mm = d.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx")).withColumn("_o", F.lit(1))
-    j = d.withColumn("_o", F.lit(1)).join(F.broadcast(mm), "_o")
+    mm = d.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx")).first()      # one row
+    j = d.withColumn("_mn", F.lit(mm["_mn"])).withColumn("_mx", F.lit(mm["_mx"]))
     width = F.col("_mx") - F.col("_mn")
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("_x") - F.col("_mn")) / width * bins),
                                                         F.lit(bins - 1))).cast("bigint")
@@ -125,9 +126,7 @@ def set_overlap(df: DataFrame, split: str, col: str, a: str = "train", b: str =
     rows_b = df.where(F.col(split) == b)
     seen = rows_b.join(sa, col, "left_semi").agg(F.count(F.lit(1)).alias("_seen"))
     tot = rows_b.agg(F.count(F.lit(1)).alias("_tot"))
-    out = both
-    for t in (only_a, only_b, nb, seen, tot):
-        out = out.withColumn("_o", F.lit(1)).join(t.withColumn("_o", F.lit(1)), "_o").drop("_o")
+    out = combine_rows(both, only_a, only_b, nb, seen, tot)
     return out.select(F.col("both").cast("bigint"), F.col("only_a").cast("bigint").alias(f"only_{a}"),
                       F.col("only_b").cast("bigint").alias(f"only_{b}"),
                       (F.col("both") / F.col("_nb")).alias(f"share_{b}_distinct_in_{a}"),
@@ -143,14 +142,12 @@ def value_counts(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGO
     long = df.select(split, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_v")
     ).select(split, "_v.*")
-    sizes = df.agg(F.count_if(F.col(split) == a).alias("_na"), F.count_if(F.col(split) == b).alias("_nb")) \
-        .withColumn("_o", F.lit(1))
+    sizes = df.agg(F.count_if(F.col(split) == a).alias("_na"), F.count_if(F.col(split) == b).alias("_nb")).first()
     cnt = long.groupBy("column", "value").agg(F.count_if(F.col(split) == a).cast("bigint").alias(f"{a}_count"),
                                               F.count_if(F.col(split) == b).cast("bigint").alias(f"{b}_count"))
-    return (cnt.withColumn("_o", F.lit(1)).join(F.broadcast(sizes), "_o")
-            .select("column", "value", f"{a}_count", f"{b}_count",
-                    (F.col(f"{a}_count") / F.col("_na") * 100).alias(f"{a}_pct"),
-                    (F.col(f"{b}_count") / F.col("_nb") * 100).alias(f"{b}_pct")))
+    return cnt.select("column", "value", f"{a}_count", f"{b}_count",
+                      (F.col(f"{a}_count") / F.lit(sizes["_na"]) * 100).alias(f"{a}_pct"),
+                      (F.col(f"{b}_count") / F.lit(sizes["_nb"]) * 100).alias(f"{b}_pct"))
 
 
 def unseen_categories(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGORICALS,
@@ -169,9 +166,7 @@ def day_sets(df: DataFrame, split: str, day: str, a: str = "train", b: str = "te
     db = df.where(F.col(split) == b).select(day).distinct()
     parts = [da.agg(F.count(F.lit(1)).alias(f"{a}_days")), db.agg(F.count(F.lit(1)).alias(f"{b}_days")),
              da.intersect(db).agg(F.count(F.lit(1)).alias("shared_days"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.withColumn("_o", F.lit(1)).join(p.withColumn("_o", F.lit(1)), "_o").drop("_o")
+    out = combine_rows(*parts)
     return out.select(*[F.col(c).cast("bigint") for c in out.columns])
 
 

@@ -12,6 +12,7 @@ from panelcast.operators.checks import duplicate_keys, id_report, range_report,
 from panelcast.operators.crossperiod import (calibrate, clip, median_ratio_baseline, seasonal_baseline,
                                              seasonal_fit, stack_ols)
 from panelcast.operators.lags import lag_block
+from panelcast.operators.rows import combine_rows
 from panelcast.operators.metrics import coverage, importance_share, inflation, lag_signal, r2, summary
 from panelcast.plans.catalog import query, rnd, rounded, rsql
 from panelcast.plans.encodings import cross_period_scale, fold_rows
@@ -117,9 +118,7 @@ def q_submission_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = shape_report(sub, src, ["Index", "demand"])
     ids = id_report(sub, src, "Index")
     rng = range_report(sub, "demand").select("in_range", rnd("mean").alias("mean"))
-    one = F.lit(1)
-    return (shape.withColumn("_o", one).join(ids.withColumn("_o", one), "_o")
-            .join(rng.withColumn("_o", one), "_o").drop("_o"))
+    return combine_rows(shape, ids, rng)
 
 
 OOF_SQL = FEAT_SQL + FOLDS_SQL + """,
@@ -175,8 +174,7 @@ def q_oof_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _oof(spark, sf_dir)
     c = coverage(o, "oof")
     s = summary(o, "oof").drop("n")
-    one = F.lit(1)
-    return rounded(c.withColumn("_o", one).join(s.withColumn("_o", one), "_o").drop("_o"),
+    return rounded(combine_rows(c, s),
                    ["coverage", "mean", "min", "max"])
 
 
@@ -308,7 +306,7 @@ def q_seasonal_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = fit.first()
     pred = seasonal_baseline(d.where(F.col("split") == "test"), "lag_96", row["slope"], row["intercept"])
     mp = pred.agg(rnd(F.avg("pred_seasonal"), 5).alias("mean_pred"))
-    out = fit.withColumn("_o", F.lit(1)).join(mp.withColumn("_o", F.lit(1)), "_o").drop("_o")
+    out = combine_rows(fit, mp)
     return out.select(rnd("slope", 5).alias("slope"), rnd("intercept", 5).alias("intercept"), rnd("r2", 5).alias("r2"),
                       "n", "mean_pred")
 
