@@ -29,6 +29,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.operators.rows import combine_rows, scalar
+
 HOT_ROWS = 1_000_000
 BUCKETS = 512
 SKETCH_ACCURACY = 20_000
@@ -45,12 +47,9 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
     keys = list(keys)
     vcol = F.col(value) if isinstance(value, str) else value
     v = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    # One global group: a constant key keeps all joins equi-joins.
     if not keys:
-        v = v.withColumn("_g", F.lit(0))
-        gkeys = ["_g"]
-    else:
-        gkeys = keys
+        return _single_group(v, ranks, with_sum, hot_rows, buckets)
+    gkeys = keys
 
     sizes = v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > hot_rows).select(*gkeys)          # at most rows / hot_rows groups
@@ -68,7 +67,49 @@ def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
     if hot.limit(1).count():
         small = small.unionByName(_hot_groups(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum,
                                               hot_rows, buckets))
-    return small.drop("_g") if not keys else small
+    return small
+
+
+def _single_group(v: DataFrame, ranks: Mapping[str, RankFn], with_sum: bool, hot_rows: int,
+                  buckets: int) -> DataFrame:
+    """One global group, without any join on a constant key.
+
+    Up to ``hot_rows`` rows: one keyless aggregation keeps the sorted values.  Larger: the
+    sketch bounds (``buckets - 1`` numbers) become a literal, the rows get a real bucket
+    column, the per-bucket counts (at most ``buckets`` rows) give each requested rank's
+    bucket and local rank, and the keyed bucketed search runs on the bucket column."""
+    spark = v.sparkSession
+    agg = [F.count(F.lit(1)).alias("_n")] + ([F.sum("_v").alias("_sum")] if with_sum else [])
+    totals = v.agg(*agg)
+    n = scalar(totals, "_n") or 0
+    if n <= hot_rows:
+        st = v.agg(*agg, F.sort_array(F.collect_list("_v")).alias("_arr"))
+        picks = []
+        for name, fn in ranks.items():
+            r = fn(F.col("_n")).cast("bigint")
+            picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
+        return st.select("_n", *(["_sum"] if with_sum else []), *picks)
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = scalar(v.agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds")), "_bounds")
+    vb = v.withColumn("_top", F.size(F.filter(F.array(*[F.lit(float(x)) for x in bounds]),
+                                                lambda x: x <= F.col("_v"))))
+    counts = sorted((r["_top"], r["_c"]) for r in vb.groupBy("_top").agg(F.count(F.lit(1)).alias("_c")).collect())
+    wanted = spark.range(1).select(*[fn(F.lit(n)).cast("bigint").alias(name) for name, fn in ranks.items()]).first()
+    rows, off = [], 0
+    for b, c in counts:                       # at most ``buckets`` rows
+        for name in ranks:
+            r = wanted[name]
+            if r is not None and off <= r < off + c:
+                rows.append((int(b), name, int(r - off)))
+        off += c
+    if rows:
+        wants = spark.createDataFrame(rows, "_top int, _name string, _rank long")
+        hits = _bucketed(vb.join(wants.select("_top").distinct(), "_top", "left_semi"), ["_top"], wants,
+                         hot_rows, buckets, 1)
+        picked = hits.agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
+    else:
+        picked = spark.range(1).select(*[F.lit(None).cast("double").alias(name) for name in ranks])
+    return combine_rows(totals, picked)
 
 
 MAX_DEPTH = 4

@@ -175,8 +175,7 @@ FROM fr LEFT JOIN rt USING (RoadType), g""")
 def q_smoothed_roadtype_te(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bayesian-smoothed RoadType mean (alpha = 10) fitted on all labelled rows."""
     rows = full_rows(_feature_rows(spark, sf_dir), SPEC)
-    glob = fold_globals(rows, "demand")
-    return rounded(smoothed_encode(rows, ["RoadType"], "te_roadtype", "demand", "Index", glob)
+    return rounded(smoothed_encode(rows, ["RoadType"], "te_roadtype", "demand", "Index")
                    .select("Index", "te_roadtype"), ["te_roadtype"])
 
 
