@@ -39,3 +39,12 @@ def test_query_matches_oracle(spark, name):
             assert np.allclose(a[c].astype(float), b[c].astype(float), equal_nan=True), c
         else:
             assert (a[c].astype(str) == b[c].astype(str)).all(), c
+
+
+@pytest.mark.parametrize("name", ["base_features", "fold_encodings", "loo_target_encoding", "smoothed_roadtype_te",
+                                  "calibrated_submission", "target_summary", "scale_summary", "target_deciles",
+                                  "supplier_loo", "lag_rolling"])
+def test_plans_have_no_cross_joins_or_python(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
