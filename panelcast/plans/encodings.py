@@ -19,8 +19,22 @@ def cross_period_scale(features: DataFrame, spec: PanelSpec) -> DataFrame:
                         target=day >= spec.target_day)
 
 
-def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bool = True) -> DataFrame:
-    """T1 + V1: labelled rows exploded into (fold, train|val), unlabelled rows into (fold, test)."""
+def encoding_inputs(spec: PanelSpec) -> list[str]:
+    """The columns the fold encodings read (everything else can join back once, by row id)."""
+    keys = {k for ks, _ in LOO_TE_SPECS + SMOOTHED_TE_SPECS + GLOBAL_RT_SPECS for k in ks}
+    cols = [spec.row_id, spec.split, spec.target, spec.entity, spec.day, spec.clock, "hour", "lag_96",
+            *sorted(keys)]
+    return list(dict.fromkeys(c if c != "geohash" else spec.entity for c in cols))
+
+
+def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bool = True,
+              columns: list[str] | None = None) -> DataFrame:
+    """T1 + V1: labelled rows exploded into (fold, train|val), unlabelled rows into (fold, test).
+
+    With ``columns`` only those columns are exploded (up to k+1 copies per row), so the wide
+    feature table is not multiplied; ``attach_features`` joins it back once."""
+    if columns is not None:
+        features = features.select(*[c for c in columns if c in features.columns])
     lab = features.where(F.col(spec.split) == spec.labelled)
     positioned = temporal_positions(lab, spec)
     n = positioned.count()
@@ -30,6 +44,12 @@ def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bo
     return rows
 
 
+def attach_features(encoded: DataFrame, features: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Join the wide feature columns back to narrow encoded fold rows (one join by row id)."""
+    extra = [c for c in features.columns if c not in encoded.columns or c == spec.row_id]
+    return encoded.join(features.select(*extra), spec.row_id)
+
+
 def full_rows(features: DataFrame, spec: PanelSpec) -> DataFrame:
     """M6 mode: encode unlabelled rows from ALL labelled rows (fold = -1)."""
     return full_fit_roles(features.where(F.col(spec.split) == spec.labelled),

@@ -11,7 +11,7 @@ from panelcast.operators.encode import (encode_all, fold_globals, global_key_sta
 from panelcast.operators.splits import (fold_report, forward_chain_roles, group_folds, temporal_positions,
                                         time_holdout, with_target_share)
 from panelcast.plans.catalog import query, rounded, rsql
-from panelcast.plans.encodings import add_all_encodings, cross_period_scale, fold_rows, full_rows
+from panelcast.plans.encodings import add_all_encodings, cross_period_scale, encoding_inputs, fold_rows, full_rows
 from panelcast.plans.features import build_base_features, materialized_features
 from panelcast.plans.q_features import ENC_SQL
 from panelcast.plans.queries import _panel_sql
@@ -160,7 +160,7 @@ ENC_COLS = ("te_roadtype",) + LOO_TE_COLS + ("gh_count", "gh_hr_std", "lag96_dev
 def q_fold_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fold-aware encodings for 5 forward-chaining folds in one plan (train/val/test roles)."""
     feats = _feature_rows(spark, sf_dir)
-    rows = fold_rows(feats, SPEC, 5)
+    rows = fold_rows(feats, SPEC, 5, columns=encoding_inputs(SPEC))
     out = add_all_encodings(rows, SPEC, scale=cross_period_scale(feats, SPEC))
     return rounded(out.select("Index", "fold", "role", *ENC_COLS), ENC_COLS)
 
