@@ -31,9 +31,14 @@ def shape_by_split(df: DataFrame, split: str, dropped: dict[str, Sequence[str]]
     return out.withColumn("columns", expr.cast("bigint"))
 
 
+TYPE_CLASSES = {"string": "string", "bigint": "integer", "int": "integer", "smallint": "integer",
+                "tinyint": "integer", "double": "double", "float": "double", "boolean": "boolean"}
+
+
 def dtypes_table(df: DataFrame) -> DataFrame:
-    """(column, type) from the schema (metadata, built on the driver by nature)."""
-    return df.sparkSession.createDataFrame([(c, t) for c, t in df.dtypes], "column string, type string")
+    """(column, type, type_class) from the schema (metadata, built on the driver by nature)."""
+    rows = [(c, t, TYPE_CLASSES.get(t, t)) for c, t in df.dtypes]
+    return df.sparkSession.createDataFrame(rows, "column string, type string, type_class string")
 
 
 def column_sets(spark, train_cols: Sequence[str], test_cols: Sequence[str]) -> DataFrame:

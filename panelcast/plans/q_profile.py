@@ -30,13 +30,20 @@ def q_profile_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.shape_by_split(p, "split", {"test": ["demand"]})
 
 
-@query("profile_dtypes", "A35 U4", None)
+@query("profile_dtypes", "A35 U4", fx.with_sql(fx.CELL_PANEL_SQL) + """
+SELECT column_name AS "column",
+       CASE WHEN column_type = 'VARCHAR' THEN 'string' WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'integer'
+            WHEN column_type IN ('DOUBLE', 'FLOAT') THEN 'double' ELSE lower(column_type) END AS type_class,
+       TRUE AS in_train, column_name <> 'demand' AS in_test
+FROM (DESCRIBE (SELECT * EXCLUDE (split) FROM panel))""")
 def q_profile_dtypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column types of the panel and the columns only one split's file has (schema metadata)."""
+    """Column type classes of the panel and the columns only one split's file has (schema metadata)."""
     p = fx.cell_panel(spark, sf_dir).drop("split")
-    d = pf.dtypes_table(p)
+    d = pf.dtypes_table(p).select("column", "type_class")
     sets = pf.column_sets(spark, p.columns, [c for c in p.columns if c != "demand"])
-    return d.join(sets, "column", "left")
+    return (d.join(sets, "column", "left")      # columns in both files have no row in ``sets``
+            .select("column", "type_class", F.coalesce("in_train", F.lit(True)).alias("in_train"),
+                    F.coalesce("in_test", F.lit(True)).alias("in_test")))
 
 
 @query("null_counts", "A14", _panel_sql() + "\nSELECT * FROM (" + "\nUNION ALL\n".join(
