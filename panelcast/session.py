@@ -49,7 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: no shared folder was named by the cluster.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                               "intermediate tables must survive the loss of any executor")
+        # local mode only (tests): no shared folder was named, a private one is enough
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
