@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.crossperiod import lag_deviation, period_scale, scale_feature
-from panelcast.operators.encode import encode_all, global_key_stats, global_loo_encode, merge_encodings
+from panelcast.operators.encode import encode_all, global_key_stats, global_loo_encode, merge_encodings, per_fold
 from panelcast.operators.splits import forward_chain_roles, full_fit_roles, temporal_positions, with_test_rows
-from panelcast.schema import GLOBAL_RT_SPECS, LOO_TE_SPECS, SMOOTHED_TE_SPECS, PanelSpec
+from panelcast.schema import (GLOBAL_RT_SPECS, LOO_TE_SPECS, SCALE_CLIP, SCALE_DENOM_FLOOR, SMOOTHED_TE_SPECS,
+                              PanelSpec)
 
 
 def cross_period_scale(features: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -27,6 +28,29 @@ def encoding_inputs(spec: PanelSpec) -> list[str]:
     return list(dict.fromkeys(c if c != "geohash" else spec.entity for c in cols))
 
 
+def fold_scale(rows: DataFrame, spec: PanelSpec) -> DataFrame:
+    """D5 option ``fit_on="fold"``: the cross-period scale from each fold's TRAINING rows only,
+    so validation labels never enter it.  Result: (fold, entity, scale)."""
+    fit = rows.where(F.col("role") == "train")
+    day, y, e, slot = F.col(spec.day), F.col(spec.target), spec.entity, spec.scale_slot
+    per = (fit.where(y.isNotNull()).groupBy("fold", e, slot)
+           .agg(F.avg(F.when(day >= spec.target_day, y)).alias("_tgt"),
+                F.avg(F.when(day < spec.target_day, y)).alias("_ref"))
+           .where(F.col("_tgt").isNotNull() & F.col("_ref").isNotNull()))
+    ratio = F.least(F.greatest(F.col("_tgt") / F.greatest(F.col("_ref"), F.lit(SCALE_DENOM_FLOOR)),
+                               F.lit(SCALE_CLIP[0])), F.lit(SCALE_CLIP[1]))
+    return per.groupBy("fold", e).agg(F.avg(ratio).alias("scale"))
+
+
+def fold_scale_feature(rows: DataFrame, scale: DataFrame, spec: PanelSpec, out: str = "gh_day49_scale"):
+    """P17 with a per-fold scale: 1.0 before the target period, else the fold's cell scale,
+    else the fold's mean scale (a per-fold CASE, no join on the fold alone)."""
+    mean = per_fold(scale.groupBy("fold").agg(F.avg("scale").alias("_m")), "_m")
+    j = rows.join(scale.withColumnRenamed("scale", "_sc"), ["fold", spec.entity], "left")
+    return (j.withColumn(out, F.when(F.col(spec.day) < spec.target_day, F.lit(1.0))
+                         .otherwise(F.coalesce(F.col("_sc"), mean))).drop("_sc"))
+
+
 def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bool = True,
               columns: list[str] | None = None) -> DataFrame:
     """T1 + V1: labelled rows exploded into (fold, train|val), unlabelled rows into (fold, test).
@@ -57,7 +81,8 @@ def full_rows(features: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def add_all_encodings(rows: DataFrame, spec: PanelSpec = PanelSpec(), scale: DataFrame | None = None,
-                      global_rt: bool = False, labelled: DataFrame | None = None) -> DataFrame:
+                      global_rt: bool = False, labelled: DataFrame | None = None,
+                      fit_on: str = "all") -> DataFrame:
     """Smoothed RoadType TE, 8 LOO specs (mean + median), gh_count, gh_hr_std, lag96_dev,
     gh_day49_scale — and optionally the 2 global RoadType x time encodings (W8)."""
     y, rid = spec.target, spec.row_id
@@ -71,4 +96,6 @@ def add_all_encodings(rows: DataFrame, spec: PanelSpec = PanelSpec(), scale: Dat
         enc = merge_encodings(enc, parts, rid)
     out = rows.join(enc, [rid, "fold"], "left")
     out = lag_deviation(out)
+    if fit_on == "fold":                       # D5 option: scale from each fold's training rows
+        return fold_scale_feature(out, fold_scale(rows, spec), spec)
     return scale_feature(out, scale, spec.entity, spec.day, spec.target_day)

@@ -84,3 +84,23 @@ def test_hot_key_third_of_rows(spark):
     assert r[(1000, 0)]["te_mean"] == pytest.approx(float(np.mean(hot)))
     own = next(x for x in data if x[3] == "hot")
     assert r[(own[0], 0)]["te_med"] == pytest.approx(float(np.median(hot)))   # n > 20: group median
+
+
+def test_fold_scale_uses_only_fold_training_rows(spark):
+    from panelcast.plans.encodings import fold_scale
+    from panelcast.schema import PanelSpec
+    spec = PanelSpec(entity="e", target="y", day="day", scale_slot="slot", target_day=1)
+    data = [(0, "train", "a", 0, 1, 1.0), (0, "train", "a", 1, 1, 2.0), (0, "val", "a", 1, 1, 50.0),
+            (1, "train", "a", 0, 1, 1.0), (1, "train", "a", 1, 1, 4.0)]
+    rows = spark.createDataFrame(data, "fold long, role string, e string, day long, slot long, y double")
+    got = {r["fold"]: r["scale"] for r in fold_scale(rows, spec).collect()}
+    assert got == {0: 2.0, 1: 4.0}                     # the val label 50 never counts
+
+
+def test_duplicate_cell_time_fails_fast(spark):
+    from panelcast.plans.jobs import validate_panel
+    from panelcast.sources import fixtures as fx
+    p = spark.createDataFrame([("qp00", 1, "0:0", 0.1, "train"), ("qp00", 1, "0:0", 0.2, "train")],
+                              "geohash string, day long, timestamp string, demand double, split string")
+    with pytest.raises(ValueError):
+        validate_panel(p, fx.EVENTS_SPEC)
