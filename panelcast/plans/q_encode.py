@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.operators.crossperiod import period_scale, scale_summary
-from panelcast.operators.encode import (encode_all, fold_globals, global_key_stats, global_loo_encode, loo_encode,
-                                        lookup_with_row_fallback, merge_encodings, smoothed_encode)
-from panelcast.operators.splits import (fold_report, forward_chain_roles, group_folds, temporal_positions,
-                                        time_holdout, with_target_share)
+from panelcast.operators.crossperiod import scale_summary
+from panelcast.operators.encode import (encode_all, global_key_stats, global_loo_encode, lookup_with_row_fallback,
+                                        merge_encodings, smoothed_encode)
+from panelcast.operators.splits import fold_report, group_folds, temporal_positions, time_holdout, with_target_share
 from panelcast.plans.catalog import query, rounded, rsql
 from panelcast.plans.encodings import add_all_encodings, cross_period_scale, encoding_inputs, fold_rows, full_rows
-from panelcast.plans.features import build_base_features, materialized_features
+from panelcast.plans.features import materialized_features
 from panelcast.plans.q_features import ENC_SQL
 from panelcast.plans.queries import _panel_sql
-from panelcast.schema import GLOBAL_RT_SPECS, LOO_TE_COLS, LOO_TE_SPECS, PanelSpec
-from panelcast.session import cut_lineage
+from panelcast.schema import GLOBAL_RT_SPECS, LOO_TE_COLS, LOO_TE_SPECS
 from panelcast.sources import fixtures as fx
 
 SPEC = fx.EVENTS_SPEC

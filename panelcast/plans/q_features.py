@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.functions.geohash import GEOHASH_ALPHABET, decode_center, prefix
+from panelcast.functions.geohash import GEOHASH_ALPHABET, prefix
 from panelcast.functions.timefeat import add_time_features, log1p_target, slot_datetime, sort_key
 from panelcast.operators.impute import (group_mode, impute_from_map, numeric_medians, unambiguous_map)
 from panelcast.operators.indexer import apply_codes, cell_table, code_tables, interaction_codes
 from panelcast.plans.catalog import query, rnd, rounded, rsql
 from panelcast.plans.features import build_base_features
-from panelcast.plans.queries import TIME_SQL, _lag_sql, _panel_sql
+from panelcast.plans.queries import _lag_sql, _panel_sql
 from panelcast.schema import BASE_COLS, LAG_COLS
 from panelcast.session import cut_lineage
 from panelcast.sources import fixtures as fx

@@ -19,7 +19,6 @@ from panelcast.plans.encodings import cross_period_scale, fold_rows
 from panelcast.plans.features import materialized_features
 from panelcast.plans.q_encode import FEAT_SQL, FOLDS_SQL
 from panelcast.plans.queries import _lag_sql, _panel_sql
-from panelcast.schema import LAG_COLS
 from panelcast.sources import fixtures as fx
 from panelcast.sources import predictions as pr
 

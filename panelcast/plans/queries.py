@@ -6,7 +6,6 @@ Importing this module fills ``catalog.REGISTRY``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelcast.functions.timefeat import add_time_features
 from panelcast.operators.lags import lag_block

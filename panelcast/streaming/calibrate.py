@@ -9,7 +9,6 @@ shared ``spark.checkpoint.dir`` — restarts resume exactly where the last batch
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.operators.crossperiod import calibrate
