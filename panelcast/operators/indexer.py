@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.geohash import decode_center, prefix
 from panelcast.operators.ordinal import global_ordinal
 from panelcast.schema import NULL_CATEGORY
+from panelcast.session import cut_lineage
 
 
 def category_text(col: str):
@@ -39,8 +40,10 @@ def codes_from_pairs(pairs: DataFrame) -> DataFrame:
     """Codes 0.. per column in ascending value order, from distinct (column, value) pairs."""
     ordered = global_ordinal(pairs, ["column", "value"], name="_pos")
     first = ordered.groupBy("column").agg(F.min("_pos").alias("_first"))
-    return (ordered.join(F.broadcast(first), "column")   # one row per encoded column
-            .select("column", "value", (F.col("_pos") - F.col("_first")).cast("bigint").alias("code")))
+    codes = (ordered.join(F.broadcast(first), "column")   # one row per encoded column
+             .select("column", "value", (F.col("_pos") - F.col("_first")).cast("bigint").alias("code")))
+    # one row per distinct value: written once, then every column's lookup reads the small table
+    return cut_lineage(codes, "codes")
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "_le") -> DataFrame:
