@@ -59,3 +59,27 @@ def test_recursive_buckets_with_ties(spark):
     got = exact_quantiles(df, [], "y", probs, [f"q{i}" for i in range(5)], hot_rows=6, buckets=3).first()
     for i, p in enumerate(probs):
         assert got[f"q{i}"] == pytest.approx(float(np.quantile(vals, p)))
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None)
+@given(seed=st.integers(0, 10_000), hot=st.sampled_from([4, 10**9]))
+def test_loo_median_property(spark, seed, hot):
+    """Random group sizes 1..30 with heavy ties: closed form == median without the own row."""
+    rng = np.random.default_rng(seed)
+    groups = {f"g{i}": list(rng.integers(0, 4, size=int(rng.integers(1, 31))) / 4.0) for i in range(6)}
+    df = _frame(spark, groups)
+    st_ = order_stats(df, ["g"], "y", median_ranks(), with_sum=True, hot_rows=hot, buckets=3)
+    rows = df.join(st_, "g").select(
+        "g", "y", "_n", "_sum", loo_median(F.col("y"), F.col("_n"), F.col("_lo"), F.col("_mid"), F.col("_hi")).alias("loo"),
+        group_median(F.col("_n"), F.col("_lo"), F.col("_mid")).alias("gm")).collect()
+    for r in rows:
+        vals = groups[r["g"]]
+        assert r["_n"] == len(vals) and r["_sum"] == pytest.approx(sum(vals))
+        assert r["gm"] == pytest.approx(float(np.median(vals)))
+        if len(vals) >= 2:
+            rest = list(vals)
+            rest.remove(r["y"])
+            assert r["loo"] == pytest.approx(float(np.median(rest)))
