@@ -106,8 +106,8 @@ def stack_ols(rows: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
     s11, s22, s12 = F.var_samp(x1), F.var_samp(x2), F.covar_samp(x1, x2)
     s1y, s2y = F.covar_samp(x1, y), F.covar_samp(x2, y)
     det = s11 * s22 - s12 * s12
-    b1 = (s22 * s1y - s12 * s2y) / det
-    b2 = (s11 * s2y - s12 * s1y) / det
+    b1 = F.try_divide(s22 * s1y - s12 * s2y, det)        # collinear regressors: NULL, not an error
+    b2 = F.try_divide(s11 * s2y - s12 * s1y, det)
     cols = rows.where(F.col(y).isNotNull() & F.col(x1).isNotNull() & F.col(x2).isNotNull())
     st = cols.agg(b1.alias("b_pred"), b2.alias("b_lag"), F.avg(y).alias("_my"), F.avg(x1).alias("_m1"),
                   F.avg(x2).alias("_m2"), F.count(F.lit(1)).cast("bigint").alias("n"))

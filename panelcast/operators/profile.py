@@ -69,7 +69,7 @@ def target_summary(df: DataFrame, y: str) -> DataFrame:
     trunc = F.when(F.col(y) >= 0, F.floor(y)).otherwise(F.ceil(y))
     base = d.agg(F.min(y).alias("min"), F.max(y).alias("max"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
                  F.avg((F.col(y) == 0).cast("double")).alias("zero_share"),
-                 (F.skewness(y) * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
+                 F.try_divide(F.skewness(y) * F.sqrt(n * (n - 1)), n - 2).alias("skew"),
                  F.count_distinct(y).cast("bigint").alias("distinct"),
                  F.bool_and(F.abs(F.col(y) - trunc) <= 1e-8 + 1e-5 * F.abs(trunc)).alias("integer_valued"),
                  n.cast("bigint").alias("n"))
@@ -134,8 +134,8 @@ def set_overlap(df: DataFrame, split: str, col: str, a: str = "train", b: str =
     out = combine_rows(both, only_a, only_b, nb, seen, tot)
     return out.select(F.col("both").cast("bigint"), F.col("only_a").cast("bigint").alias(f"only_{a}"),
                       F.col("only_b").cast("bigint").alias(f"only_{b}"),
-                      (F.col("both") / F.col("_nb")).alias(f"share_{b}_distinct_in_{a}"),
-                      (F.col("_seen") / F.col("_tot")).alias(f"share_{b}_rows_in_{a}"))
+                      F.try_divide(F.col("both"), F.col("_nb")).alias(f"share_{b}_distinct_in_{a}"),
+                      F.try_divide(F.col("_seen"), F.col("_tot")).alias(f"share_{b}_rows_in_{a}"))
 
 
 def value_counts(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGORICALS,
@@ -151,8 +151,8 @@ def value_counts(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGO
     cnt = long.groupBy("column", "value").agg(F.count_if(F.col(split) == a).cast("bigint").alias(f"{a}_count"),
                                               F.count_if(F.col(split) == b).cast("bigint").alias(f"{b}_count"))
     return cnt.select("column", "value", f"{a}_count", f"{b}_count",
-                      (F.col(f"{a}_count") / F.lit(sizes["_na"]) * 100).alias(f"{a}_pct"),
-                      (F.col(f"{b}_count") / F.lit(sizes["_nb"]) * 100).alias(f"{b}_pct"))
+                      (F.try_divide(F.col(f"{a}_count"), F.lit(sizes["_na"])) * 100).alias(f"{a}_pct"),
+                      (F.try_divide(F.col(f"{b}_count"), F.lit(sizes["_nb"])) * 100).alias(f"{b}_pct"))
 
 
 def unseen_categories(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGORICALS,
@@ -184,7 +184,7 @@ def hour_distribution(df: DataFrame, split: str, hour: str, a: str = "train", b:
 def duplicate_share(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(rows - distinct keys) / rows."""
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(((F.sum("_n") - F.count(F.lit(1))) / F.sum("_n")).alias("duplicate_share"))
+    return g.agg(F.try_divide(F.sum("_n") - F.count(F.lit(1)), F.sum("_n")).alias("duplicate_share"))
 
 
 def temporal_overlap(df: DataFrame, split: str, t: str, a: str = "train", b: str = "test") -> DataFrame:

@@ -40,3 +40,15 @@ def test_bad_output(spark):
 def test_dup_key(spark):
     df = spark.createDataFrame([("c", 0), ("c", 0), ("c", 15)], "e string, t long")
     assert duplicate_keys(df, ["e", "t"]).count() == 1
+
+
+def test_zero_denominators_give_null(spark):
+    """ANSI mode raises on x/0; undefined statistics must come back NULL instead."""
+    from panelcast.operators.crossperiod import stack_ols
+    from panelcast.operators.metrics import r2
+    from panelcast.operators.profile import target_summary
+    const = spark.createDataFrame([(1.0, 0.5, 2.0), (1.0, 0.7, 4.0)], "y double, p double, x double")
+    assert r2(const, "y", "p").first()["r2"] is None
+    assert target_summary(const, "x").first()["skew"] is None          # n = 2
+    collinear = spark.createDataFrame([(1.0, 1.0, 2.0), (2.0, 2.0, 4.0), (3.0, 3.0, 6.0)], "y double, a double, b double")
+    assert stack_ols(collinear, "y", "a", "b").first()["b_pred"] is None
