@@ -39,6 +39,8 @@ def fold_bounds(n: int, k: int = N_SPLITS) -> list[tuple[int, int, int]]:
 def forward_chain_roles(df_pos: DataFrame, n: int, k: int = N_SPLITS, pos: str = "pos") -> DataFrame:
     """V1: explode every positioned labelled row into its (fold, role) memberships."""
     s = n // (k + 1)
+    if s == 0:
+        raise ValueError(f"{n} labelled rows cannot make {k} forward folds")
     base = n - k * s
     p = F.col(pos)
     val_fold = F.when(p >= base, F.floor((p - base) / s)).cast("bigint")
