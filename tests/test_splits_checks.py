@@ -52,3 +52,25 @@ def test_zero_denominators_give_null(spark):
     assert target_summary(const, "x").first()["skew"] is None          # n = 2
     collinear = spark.createDataFrame([(1.0, 1.0, 2.0), (2.0, 2.0, 4.0), (3.0, 3.0, 6.0)], "y double, a double, b double")
     assert stack_ols(collinear, "y", "a", "b").first()["b_pred"] is None
+
+
+def test_hash_group_folds_keep_cells_together(spark):
+    from panelcast.operators.splits import hash_group_folds
+    df = spark.createDataFrame([(f"c{i % 17}", i) for i in range(200)], "cell string, rid long")
+    per_cell = hash_group_folds(df, "cell", 5).groupBy("cell").agg(F.countDistinct("fold").alias("k")).collect()
+    assert all(r["k"] == 1 for r in per_cell)
+
+
+def test_target_share_moves_rows_into_training(spark):
+    from panelcast.operators.splits import forward_chain_roles, with_target_share
+    n = 60
+    df = spark.createDataFrame([(i, i, 0 if i < 30 else 1) for i in range(n)], "rid long, pos long, day long")
+    rows = forward_chain_roles(df, n, 5)
+    v4 = with_target_share(rows, "day", 1, "rid", 4, 5).collect()
+    picked = {i for i in range(30, n) if i % 4 == 0}
+    for r in v4:
+        if r["rid"] in picked:
+            assert r["role"] == "train"
+    moved_val = {r["rid"] for r in rows.collect() if r["role"] == "val" and r["rid"] in picked}
+    for rid in moved_val:                                  # trains in every fold now
+        assert sorted(r["fold"] for r in v4 if r["rid"] == rid) == [0, 1, 2, 3, 4]
