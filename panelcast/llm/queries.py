@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from panelcast.llm import bpe_codec, token_counts, token_files
+from panelcast.llm import bpe_codec, language_id, quality_rules, rule_classifier, token_counts, token_files
 
-QUERIES = {f.__name__: f for f in (token_files.op1_token_files, bpe_codec.op3_bpe_codec, token_counts.op7_token_counts)}
+QUERIES = {f.__name__: f for f in (token_files.op1_token_files, quality_rules.op2_quality_rules, bpe_codec.op3_bpe_codec, rule_classifier.op5_rule_classifier, token_counts.op7_token_counts,
+                                   language_id.op9_language_id)}
 ORACLE_SQL: dict[str, str] = {}
