@@ -128,7 +128,8 @@ def by_halving(rows: DataFrame, span: int) -> DataFrame:
                 while lo <= r["hi"]:
                     hi = min(r["hi"], lo + size - 1 - (lo - r["off"]) % size)
                     key = (lo - r["off"]) // size
-                    full, core = r["text"][lo:hi + span], r["text"][hi:lo + span]
+                    # the bytes that all windows of the uncut range [key * size, (key + 1) * size) share
+                    full, core = r["text"][lo:hi + span], r["text"][r["off"] + (key + 1) * size - 1:max(0, r["off"] + key * size + span)]
                     for k in ("gram", "seg", "n", "off", "text"):
                         out[k].append(r[k])
                     out["lo"].append(lo)
@@ -139,12 +140,15 @@ def by_halving(rows: DataFrame, span: int) -> DataFrame:
             return out
 
         parts = saved(map_arrow(ranges, cut, "gram long, seg long, n long, off int, text binary, lo int, hi int, full binary, core binary"), "halves")
-        whole = parts.groupBy("full").agg((F.sum("n") > 1).alias("whole"))
-        some = parts.groupBy("core").agg((F.sum("n") > 1).alias("some"))
-        judged = saved(parts.join(whole, "full").join(some, "core"), "judged")
+        whole = parts.groupBy("full").agg(F.sum("n").alias("copies"), F.min("seg").alias("first_"))
+        parts = parts.join(whole, "full").withColumn("whole", F.col("copies") > 1)
+        some = parts.groupBy("core").agg((F.sum("n") > 1).alias("some"), F.max(~F.col("whole")).alias("open"))
+        judged = saved(parts.join(some, "core"), "judged")
         done = judged.where("whole").select("gram", "seg", "lo", "hi")
         found = done if found is None else found.union(done)
-        ranges = judged.where("not whole and some" if size > 1 else "false").drop("full", "core", "whole", "some")
+        # one copy of a decided range stays as a witness for undecided ones with the same core
+        ranges = judged.where("open and some and (not whole or seg = first_)" if size > 1 else "false")
+        ranges = ranges.withColumn("n", F.when(F.col("whole"), F.col("copies")).otherwise(F.col("n"))).select("gram", "seg", "n", "off", "text", "lo", "hi")
         size //= 2
         if ranges.isEmpty():
             break
