@@ -18,8 +18,8 @@ of (set size, class), neighbouring cuts overlap by one class, so they stay conne
 
 Nulls and edge cases: null and empty texts have an empty set, link with nothing and are kept; rows
 without doc_id link with nothing, have a null component_id and are kept; repeated rows (same doc_id and
-text) are copies of one another with one id; rows of one doc_id with different texts are separate
-documents.  An empty table gives an empty result.  Only doc_id and text are read.
+text) are copies of one another with one id; rows of one doc_id with different texts are compared
+text by text and may get different components.  An empty table gives an empty result.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, l
     if comps is not None:
         for i in range(n - 1):
             near = (sigs[i + 1:] == sigs[i]).mean(axis=1) >= least
-            near &= comps[i + 1:] != comps[i]
+            near &= (comps[i + 1:] != comps[i]) & (cids[i + 1:] != cids[i])
             out += [(int(cids[i]), int(cids[i + 1 + j])) for j in np.flatnonzero(near)]
         return out
     best, link, left = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
@@ -123,21 +123,20 @@ def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, l
         better = left & (same > best)
         best[better], link[better] = same[better], at
         at = int(np.argmax(np.where(left, best, -2.0)))
-        if best[at] >= least:
+        if best[at] >= least and cids[link[at]] != cids[at]:
             out.append((int(cids[link[at]]), int(cids[at])))
     return out
 
 
 def candidates(members: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Distinct candidate pairs (a < b) of all regions."""
-    rows = members.join(classes.select("cid", "sig"), "cid")
+    """Distinct candidate pairs (a < b) of all regions.  Signatures are fetched only for regions that can
+    still add something: with components, those that touch more than one."""
+    rows = members.withColumn("component", F.lit(0).cast("long"))
     if comps is not None:
-        rows = rows.join(comps, rows["cid"] == comps["node"], "left").select("region", "cid", "sig", F.coalesce("component", "cid").alias("component"))
-        # a region whose classes are all in one component has nothing to add
-        mixed_ = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
-        rows = rows.join(mixed_, "region")
-    else:
-        rows = rows.select("region", "cid", "sig", F.lit(0).cast("long").alias("component"))
+        rows = members.join(comps, F.col("cid") == F.col("node"), "left").select("region", "cid", F.coalesce("component", "cid").alias("component"))
+        apart = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
+        rows = saved(rows.join(apart, "region"), "apart")
+    rows = rows.join(classes.select("cid", "sig"), "cid").select("region", "cid", "sig", "component")
     share = PERCENT / 100
     least = share - 4 * (share * (1 - share) / SIZE) ** 0.5
     with_comps = comps is not None
@@ -178,20 +177,23 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str = "region") -> Ite
         yield held
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").join(ids, "cid").join(classes.select("cid", "h1"), "cid")
+def full_sets(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, shingles): the full shingle set of every class in a region; texts are read once for all rounds."""
+    ids = members.select("cid").distinct().join(classes.select("cid", "h1"), "cid")
+    texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").join(ids, "cid")
 
     def sets(batch: pa.RecordBatch) -> dict:
         got = [shingle_set(t) for t in batch.column(1).to_pylist()]
         return {"cid": batch.column(0), "h1": batch.column(2), "own": [int(s.sum().view(np.int64)) if len(s) else 0 for s in got], "shingles": [s.tobytes() for s in got]}
 
-    table_ = map_arrow(texts.select("cid", "text", "h1"), sets, "cid long, h1 long, own long, shingles binary")
-    # a doc_id may stand on rows with different texts: only the class's own set counts, once
-    table_ = saved(table_.where("own = h1").select("cid", "shingles"), "sets").dropDuplicates(["cid"])
-    first = pairs.join(table_.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = first.join(table_.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
+    # a doc_id may stand on rows with different texts: only those of the class count
+    return map_arrow(texts.select("cid", "text", "h1"), sets, "cid long, h1 long, own long, shingles binary").where("own = h1").select("cid", "shingles")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold."""
+    first = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = first.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
 
     def check(batch: pa.RecordBatch) -> dict:
         good = []
@@ -210,13 +212,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = saved(signed(docs), "signed")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = saved(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
-    members = saved(regions(classes.dropDuplicates(["cid"])), "members")
+    members = saved(regions(classes), "members")
     pairs = saved(candidates(members, classes, None), "pairs")
-    links = saved(confirmed(pairs, docs, classes), "links")
+    sets = saved(full_sets(members, docs, classes), "sets")
+    links = saved(confirmed(pairs, sets), "links")
     comps = components(links)
     more = saved(candidates(members, classes, comps).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        again = saved(confirmed(more, docs, classes), "links")
+        again = saved(confirmed(more, sets), "links")
         if not again.isEmpty():
             comps = components(links.union(again))
     named = classes.select("h1", "h2", F.col("n_shingles").alias("n_"), "cid", "copies").join(comps, F.col("cid") == F.col("node"), "left")
