@@ -58,17 +58,18 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text", keep:
     return _mapped(df, ids, keep, {out: "string"}, lambda vals: {out: [decode_ids(v or b"", path) for v in vals]})
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Encode and decode in one pass: n_tokens, ids_sha256 and decoded_sha256 beside ``keep``."""
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str | None = None) -> DataFrame:
+    """Encode and decode in one pass: n_tokens, ids_sha256 and decoded_sha256 beside ``keep``, and the ids
+    themselves (binary) if ``ids`` names a column for them."""
     def digests(texts: list[str | None]) -> dict:
-        ids = encode_texts(texts, path)
-        return {
-            "n_tokens": [len(i) // 4 for i in ids],
-            "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
-            "decoded_sha256": [hashlib.sha256(decode_ids(i, path).encode()).hexdigest() for i in ids],
+        got = encode_texts(texts, path)
+        return ({ids: got} if ids else {}) | {
+            "n_tokens": [len(i) // 4 for i in got],
+            "ids_sha256": [hashlib.sha256(i).hexdigest() for i in got],
+            "decoded_sha256": [hashlib.sha256(decode_ids(i, path).encode()).hexdigest() for i in got],
         }
 
-    return _mapped(df, text, keep, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, digests)
+    return _mapped(df, text, keep, ({ids: "binary"} if ids else {}) | {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, digests)
 
 
 def _mapped(df: DataFrame, col: str, keep: list[str] | None, new: dict[str, str], fn) -> DataFrame:

@@ -152,23 +152,31 @@ class Matcher:
 _READY: dict[int, Matcher] = {}
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row per document and item found in it, with the best distance and its place (in words)."""
+def matcher(items: list[tuple], edits: float, min_words: int) -> Matcher:
+    """The matcher of a block, built once per process."""
+    key = hash((tuple(items), edits, min_words))
+    if key not in _READY:
+        _READY.clear()
+        _READY[key] = Matcher(items, edits, min_words)
+    return _READY[key]
+
+
+def item_blocks(benchmark: DataFrame, block_bytes: int):
+    """The items in broadcast blocks of about ``block_bytes`` of text, dealt by a hash."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length("text") > 0)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
-    sc, out = docs.sparkSession.sparkContext, None
     for k in range(blocks):
-        # by a hash of the text: a block holds about block_bytes, however the ids are dealt
         block = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == k).sort("item_id", "text").collect()
-        shared = sc.broadcast([tuple(r) for r in block])
+        yield benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in block])
+
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """A row per document and item found in it, with the best distance and its place (in words)."""
+    out = None
+    for shared in item_blocks(benchmark, block_bytes):
         def run(batch: pa.RecordBatch, shared=shared) -> dict:
-            key = hash(tuple(shared.value))
-            if key not in _READY:
-                _READY.clear()
-                _READY[key] = Matcher(shared.value, edits, min_words)
-            got = _READY[key](batch.column(1).to_pylist())
+            got = matcher(shared.value, edits, min_words)(batch.column(1).to_pylist())
             doc, item, *rest = zip(*got) if got else ((),) * 6
             names = ("distance", "item_words", "start_word", "n_words")
             return {"doc_id": batch.column(0).take(pa.array(doc, pa.int64())), "item_id": list(item)} | dict(zip(names, map(list, rest)))
@@ -178,6 +186,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, mi
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` (all columns) that hold no item; decided where the rows are, without a join."""
+    columns = docs.columns
+    for shared in item_blocks(benchmark, block_bytes):
+        def run(batch: pa.RecordBatch, shared=shared) -> dict:
+            got = matcher(shared.value, edits, min_words)(batch.column(1).to_pylist())
+            keep = np.ones(batch.num_rows, bool)
+            keep[[g[0] for g in got]] = False
+            return {"row_": batch.column(0).filter(pa.array(keep))}
+
+        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), F.col("text").alias("text"))
+        left = map_arrow(packed, run, packed.select("row_").schema)
+        docs = left.select(*[F.col("row_").getField(c).alias(c) for c in columns])
+    return docs
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items of ``benchmark`` found in ``documents``: one row per contaminated document and item."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -40,18 +40,18 @@ SIZE = TREES * FIRST
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two 64-bit sums that name the set, and the signature (SIZE minima)."""
+    """doc_id, th (hash of the text), n_shingles, two 64-bit sums that name the set, and the signature (SIZE minima)."""
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
         sign = MinHash(SIZE)
         return {
-            "doc_id": batch.column(0), "n_shingles": [len(s) for s in sets],
+            "doc_id": batch.column(0), "th": batch.column(2), "n_shingles": [len(s) for s in sets],
             "h1": [int(s.sum().view(np.int64)) if len(s) else 0 for s in sets],
             "h2": [int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(s) else 0 for s in sets],
             "sig": [sign(s).astype(">u4").tobytes() if len(s) else None for s in sets],
         }
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")), run, "doc_id long, th long, n_shingles long, h1 long, h2 long, sig binary")
 
 
 def prefix_keys(sig: bytes, tree: int, depth: int) -> bytes:
@@ -208,7 +208,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept per row of ``docs`` (doc_id, text)."""
+    """doc_id, th (xxhash64 of the text), n_shingles, component_id and kept per row of ``docs``."""
     rows = saved(signed(docs), "signed")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = saved(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
@@ -228,9 +228,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = named.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n_", F.coalesce("component", "cid").alias("found"))
     out = rows.drop("sig").join(named, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("n_shingles") == F.col("n_")) & F.col("doc_id").isNotNull(), "left")
     out = out.withColumn("component_id", F.coalesce("found", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "th", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document of each component: its smallest doc_id.
+    Repeated rows (same doc_id and text) leave one row."""
+    found = saved(near_duplicates(docs.select("doc_id", "text")), "found")
+    names = ("doc_id", "th")
+    drop = found.where(~F.col("kept")).select(*names).distinct()
+    # the columns travel as one struct, so their names cannot clash with the keys
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"))
+    left = packed.join(drop, [*names], "left_anti")
+    linked = found.where("kept and n_shingles > 0 and doc_id is not null")
+    twice = saved(linked.groupBy(*names).count().where("count > 1").drop("count"), "twice")
+    if not twice.isEmpty():
+        left = left.join(twice, [*names], "left_anti").union(left.join(twice, [*names], "left_semi").dropDuplicates([*names]))
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("th")

@@ -117,6 +117,21 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted")), model
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` (all columns) that score at least ``threshold``.
+
+    The labelled sample (at most about ``max_rows`` ids) is broadcast to fetch its texts; scoring is one
+    pass in which the texts stay with their rows, so no text is shuffled."""
+    teach = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).select("doc_id", "quality")
+    n, mod = teach.count(), 1 << 30
+    picked = teach.where(crc_rest("doc_id", mod, "rules") < min(mod, int(mod * max_rows / max(1, n)))).select("doc_id").distinct()
+    sample = saved(with_stats(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), keep=("doc_id",)), "rule-stats")
+    model = fit(saved(training_rows(sample, labels, max_rows).coalesce(4), "rule-sample"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), F.col("text").alias("text"))
+    scored = with_stats(packed, keep=("row_",)).where(model.score() >= threshold)
+    return scored.select(*[F.col("row_").getField(c).alias(c) for c in docs.columns])
+
+
 def op5_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score and prediction of every document, learnt from ``labels``."""
     out, _ = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

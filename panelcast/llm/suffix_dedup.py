@@ -43,10 +43,10 @@ def signed64(x: int) -> int:
     return x - (1 << 64) if x >= _SIGNED else x
 
 
-def named(docs: DataFrame) -> DataFrame:
+def named(docs: DataFrame, *more: F.Column) -> DataFrame:
     """doc_id, th (hash of the text) and text: the pair names a text, repeated rows share it."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"), *[c.alias("rest") for c in more])
 
 
 def segments(docs: DataFrame, span: int) -> DataFrame:
@@ -173,16 +173,17 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> Dat
     return ranges.groupBy("doc_id", "th").agg(F.collect_list("s").alias("spans"))
 
 
-def cover(spans: list[dict] | None, shift: int = 0) -> list[tuple[int, int]]:
+def cover(spans: list[dict] | None) -> list[tuple[int, int]]:
     """Disjoint byte ranges [lo, hi), in order."""
     return [(lo, hi + 1) for lo, hi in repeats.joined([(s["lo"], s["hi"] - 1) for s in spans or []])]
 
 
-def with_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, th, text and spans (null: none) for every row."""
-    rows = named(docs)
-    spans = repeated_spans(rows, span, heavy).withColumnsRenamed({"doc_id": "d_", "th": "t_"})
-    return rows.join(spans, rows["doc_id"].eqNullSafe(F.col("d_")) & (F.col("th") == F.col("t_")), "left").select("doc_id", "th", "text", "spans")
+def with_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, th, text and spans (null: none) for every row, and the columns ``keep`` in a struct ``rest``."""
+    spans = repeated_spans(named(docs), span, heavy).withColumnsRenamed({"doc_id": "d_", "th": "t_"})
+    rest = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("int")
+    rows = named(docs, rest)
+    return rows.join(spans, rows["doc_id"].eqNullSafe(F.col("d_")) & (F.col("th") == F.col("t_")), "left").select("doc_id", "th", "text", "spans", "rest")
 
 
 def kept_bytes(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
@@ -190,24 +191,33 @@ def kept_bytes(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def without_spans(text: str, spans: list[dict] | None) -> str:
+    """The text without its repeated bytes; a character stays unless all of its bytes are covered."""
+    raw, gone = text.encode(), []
+    for lo, hi in cover(spans):
+        while lo < hi and raw[lo] & 0xC0 == 0x80:
+            lo += 1
+        while lo < hi < len(raw) and raw[hi] & 0xC0 == 0x80:
+            hi -= 1
+        if lo < hi:
+            gone.append((lo, hi))
+    return kept_bytes(raw, gone).decode()
+
+
 def deduplicated(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, th, text without repeated bytes and its spans; a character goes whole or stays whole: it
-    stays if not all of its bytes are covered."""
+    """The rows of ``docs`` (all columns) with the repeated passages cut out of ``text``."""
+    rows = with_spans(docs, span, heavy, docs.columns).select("rest", "text", "spans")
+
     def run(batch: pa.RecordBatch) -> dict:
-        texts = []
-        for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            raw, gone = text.encode(), []
-            for lo, hi in cover(spans):
-                while lo < hi and raw[lo] & 0xC0 == 0x80:
-                    lo += 1
-                while lo < hi < len(raw) and raw[hi] & 0xC0 == 0x80:
-                    hi -= 1
-                if lo < hi:
-                    gone.append((lo, hi))
-            texts.append(kept_bytes(raw, gone).decode())
-        return {"doc_id": batch.column(0), "th": batch.column(1), "text": texts, "n_spans": [len(cover(s)) for s in batch.column(3).to_pylist()]}
-
-    return map_arrow(with_spans(docs, span, heavy), run, "doc_id long, th long, text string, n_spans long")
+        texts = [without_spans(t, s) if s else t for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        return {"rest": batch.column(0), "new_": texts}
+
+    from pyspark.sql.types import StringType
+
+    out = map_arrow(rows, run, rows.select("rest").schema.add("new_", StringType()))
+    # a null text stays null
+    text = F.when(F.col("rest").getField("text").isNotNull(), F.col("new_"))
+    return out.select(*[(text if c == "text" else F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
