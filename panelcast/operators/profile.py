@@ -119,23 +119,23 @@ def prefix_cardinality(df: DataFrame, col: str, lengths: Sequence[int] = PREFIX_
         .select("_p.*")
 
 
+def _by_value(df: DataFrame, split: str, cols: Sequence[str], a: str, b: str) -> DataFrame:
+    """Rows per value in split a (``_a``) and split b (``_b``): one grouped pass."""
+    return df.groupBy(*cols).agg(F.count_if(F.col(split) == a).alias("_a"), F.count_if(F.col(split) == b).alias("_b"))
+
+
 def set_overlap(df: DataFrame, split: str, col: str, a: str = "train", b: str = "test") -> DataFrame:
     """U3 + J8: values in both splits / only in a / only in b, share of b's distinct values
-    seen in a, and share of b's ROWS whose value was seen in a (a semi-join)."""
-    sa = df.where(F.col(split) == a).select(col).distinct()
-    sb = df.where(F.col(split) == b).select(col).distinct()
-    both = sa.intersect(sb).agg(F.count(F.lit(1)).alias("both"))
-    only_a = sa.subtract(sb).agg(F.count(F.lit(1)).alias("only_a"))
-    only_b = sb.subtract(sa).agg(F.count(F.lit(1)).alias("only_b"))
-    nb = sb.agg(F.count(F.lit(1)).alias("_nb"))
-    rows_b = df.where(F.col(split) == b)
-    seen = rows_b.join(sa, col, "left_semi").agg(F.count(F.lit(1)).alias("_seen"))
-    tot = rows_b.agg(F.count(F.lit(1)).alias("_tot"))
-    out = combine_rows(both, only_a, only_b, nb, seen, tot)
-    return out.select(F.col("both").cast("bigint"), F.col("only_a").cast("bigint").alias(f"only_{a}"),
-                      F.col("only_b").cast("bigint").alias(f"only_{b}"),
-                      F.try_divide(F.col("both"), F.col("_nb")).alias(f"share_{b}_distinct_in_{a}"),
-                      F.try_divide(F.col("_seen"), F.col("_tot")).alias(f"share_{b}_rows_in_{a}"))
+    seen in a, and share of b's ROWS whose value was seen in a.  One scan, one shuffle by value:
+    every number is a sum over the per-value counts."""
+    in_a, in_b = F.col("_a") > 0, F.col("_b") > 0
+    seen_rows = F.coalesce(F.sum(F.when(in_a & F.col(col).isNotNull(), F.col("_b"))), F.lit(0))
+    return _by_value(df, split, [col], a, b).agg(
+        F.count_if(in_a & in_b).cast("bigint").alias("both"),
+        F.count_if(in_a & ~in_b).cast("bigint").alias(f"only_{a}"),
+        F.count_if(in_b & ~in_a).cast("bigint").alias(f"only_{b}"),
+        F.try_divide(F.count_if(in_a & in_b), F.count_if(in_b)).alias(f"share_{b}_distinct_in_{a}"),
+        F.try_divide(seen_rows, F.sum("_b")).alias(f"share_{b}_rows_in_{a}"))
 
 
 def value_counts(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGORICALS,
@@ -157,22 +157,19 @@ def value_counts(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGO
 
 def unseen_categories(df: DataFrame, split: str, cols: Sequence[str] = PROFILE_CATEGORICALS,
                       a: str = "train", b: str = "test") -> DataFrame:
-    """Non-NULL values present in split b but never in split a, per column."""
+    """Non-NULL values present in split b but never in split a, per column (one grouped pass)."""
     long = df.select(split, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_v")
     ).select(split, "_v.*").where(F.col("value").isNotNull())
-    return (long.where(F.col(split) == b).select("column", "value").distinct()
-            .subtract(long.where(F.col(split) == a).select("column", "value").distinct()))
+    return _by_value(long, split, ["column", "value"], a, b).where("_a = 0 AND _b > 0").select("column", "value")
 
 
 def day_sets(df: DataFrame, split: str, day: str, a: str = "train", b: str = "test") -> DataFrame:
-    """Distinct days per split and days shared by both."""
-    da = df.where(F.col(split) == a).select(day).distinct()
-    db = df.where(F.col(split) == b).select(day).distinct()
-    parts = [da.agg(F.count(F.lit(1)).alias(f"{a}_days")), db.agg(F.count(F.lit(1)).alias(f"{b}_days")),
-             da.intersect(db).agg(F.count(F.lit(1)).alias("shared_days"))]
-    out = combine_rows(*parts)
-    return out.select(*[F.col(c).cast("bigint") for c in out.columns])
+    """Distinct days per split and days shared by both (one grouped pass)."""
+    in_a, in_b = F.col("_a") > 0, F.col("_b") > 0
+    return _by_value(df, split, [day], a, b).agg(
+        F.count_if(in_a).cast("bigint").alias(f"{a}_days"), F.count_if(in_b).cast("bigint").alias(f"{b}_days"),
+        F.count_if(in_a & in_b).cast("bigint").alias("shared_days"))
 
 
 def hour_distribution(df: DataFrame, split: str, hour: str, a: str = "train", b: str = "test") -> DataFrame:

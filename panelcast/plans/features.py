@@ -62,15 +62,8 @@ def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_la
     return p
 
 
-_MATERIALIZED: dict[tuple, DataFrame] = {}
-
-
 def materialized_features(spark, sf_dir: str, spec: PanelSpec = fx.EVENTS_SPEC) -> DataFrame:
-    """R1 on the events panel, checkpointed once per (session, folder, spec) and reused by
-    every fold / encoding plan built on top of it (the lineage is cut at R1)."""
-    sc = spark.sparkContext
-    key = (sc.applicationId, sc.startTime, sf_dir, spec)     # unique per running application
-    if key not in _MATERIALIZED:
-        panel = cut_lineage(fx.cell_panel(spark, sf_dir))      # the input table, stored once
-        _MATERIALIZED[key] = cut_lineage(build_base_features(panel, spec))
-    return _MATERIALIZED[key]
+    """R1 on the events panel, written once and read back by every fold / encoding plan that the
+    caller builds on the returned table (the lineage is cut at R1)."""
+    panel = cut_lineage(fx.cell_panel(spark, sf_dir))      # the input table, stored once
+    return cut_lineage(build_base_features(panel, spec))

@@ -181,11 +181,11 @@ def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unseen_categories", "U5", _panel_sql() + "\n" + "\nUNION ALL\n".join(
     f"(SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM panel WHERE split = 'test' AND {c} IS NOT NULL "
     f"EXCEPT SELECT '{c}', CAST({c} AS VARCHAR) FROM panel WHERE split = 'train' AND {c} IS NOT NULL)"
-    for c in _VC + ("geohash",)))
+    for c in _VC + ("geohash", "day")))
 def q_unseen_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Non-NULL values (5 categoricals + cell id) that occur only in unlabelled rows."""
+    """Non-NULL values (5 categoricals, cell id, day) that occur only in unlabelled rows."""
     p = fx.cell_panel(spark, sf_dir)
-    return pf.unseen_categories(p, "split", _VC + ("geohash",))
+    return pf.unseen_categories(p, "split", _VC + ("geohash", "day"))
 
 
 @query("day_sets", "A23", _panel_sql() + """,

@@ -50,6 +50,12 @@ def _event_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cell_id(u):
+    """The cell id of user ``u``: distinct for every user below 2^25."""
+    return F.concat(F.lit("qp"), _b32(F.floor(u / 1024) % 32), _b32(u % 4), _b32(F.floor(u / 4) % 8),
+                    _b32(F.floor(u / 32) % 32), _b32(F.floor(u / 32768) % 32), _b32(F.floor(u / 1048576) % 32))
+
+
 def cell_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a labelled + unlabelled demand panel of (cell, 15-minute slot) rows."""
     g = (_event_slots(spark, sf_dir).groupBy("u", "slot")
@@ -64,8 +70,7 @@ def cell_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     ((F.floor(u / 7) % 4) + 1).cast("int"))))
     return g.select(
         (u * 4096 + slot).cast("bigint").alias("Index"),
-        F.concat(F.lit("qp"), _b32(F.floor(u / 1024) % 32), _b32(u % 4), _b32(F.floor(u / 4) % 8),
-                 _b32(F.floor(u / 32) % 32)).alias("geohash"),
+        cell_id(u).alias("geohash"),
         day.alias("day"),
         F.concat((F.floor(q / 4)).cast("string"), F.lit(":"), ((q % 4) * 15).cast("string")).alias("timestamp"),
         F.when(labelled, F.least(F.col("d"), F.lit(1.0))).alias("demand"),
@@ -131,6 +136,10 @@ def _b32_sql(expr: str) -> str:
     return f"substr('{BASE32}', CAST(({expr}) AS INTEGER) + 1, 1)"
 
 
+CELL_ID_SQL = "'qp' || " + " || ".join(_b32_sql(e) for e in (
+    "(u // 1024) % 32", "u % 4", "(u // 4) % 8", "(u // 32) % 32", "(u // 32768) % 32", "(u // 1048576) % 32"))
+
+
 EVENT_SLOTS_SQL = f"""
 ev AS (
   SELECT user_id AS u, event_type,
@@ -145,8 +154,7 @@ cp_agg AS (SELECT u, slot, CAST(SUM(v) AS DOUBLE) / 1000 AS d, MAX(k) AS k FROM
 cp_slots AS (SELECT *, slot // 96 AS dday, slot % 96 AS q FROM cp_agg),
 panel AS (
   SELECT CAST(u * 4096 + slot AS BIGINT) AS "Index",
-         'qp' || {_b32_sql('(u // 1024) % 32')} || {_b32_sql('u % 4')} || {_b32_sql('(u // 4) % 8')}
-              || {_b32_sql('(u // 32) % 32')} AS geohash,
+         {CELL_ID_SQL} AS geohash,
          CAST(dday AS BIGINT) AS day,
          CAST(q // 4 AS VARCHAR) || ':' || CAST((q % 4) * 15 AS VARCHAR) AS "timestamp",
          CASE WHEN slot <= {LABEL_LAST_SLOT} THEN least(d, CAST(1.0 AS DOUBLE)) END AS demand,

@@ -14,7 +14,8 @@ def test_stream_equals_batch(spark):
     scale = spark.createDataFrame([("a", 2.0), ("b", 5.0)], "geohash string, scale double")
     src, sink = scratch_dir(spark, "t-in"), scratch_dir(spark, "t-out")
     preds.write.parquet(src)
-    run_calibration(spark, src, scale, sink)
+    ckpt = scratch_dir(spark, "t-ckpt")
+    run_calibration(spark, src, scale, sink, ckpt)
     got = {r["row_id"]: r["pred"] for r in spark.read.parquet(sink).collect()}
     want = {r["row_id"]: r["pred"] for r in calibrate(preds, scale, "geohash", "pred").collect()}
     assert got == pytest.approx(want)
@@ -22,14 +23,59 @@ def test_stream_equals_batch(spark):
     assert want[3] == pytest.approx(0.2 * (0.2 * 3.5 + 0.8))   # unseen cell -> mean scale
 
 
+def test_stream_goes_on_with_new_rows(spark):
+    scale = spark.createDataFrame([("a", 2.0)], "geohash string, scale double")
+    src, sink, ckpt = (scratch_dir(spark, f"t-{k}") for k in ("in", "out", "ckpt"))
+    seen = []
+    for ids in ([1, 2], [3, 4], []):
+        spark.createDataFrame([(i, "a", 0.1) for i in ids], "row_id long, geohash string, pred double").write.mode("append").parquet(src)
+        run_calibration(spark, src, scale, sink, ckpt)
+        seen += ids
+        assert sorted(r["row_id"] for r in spark.read.parquet(sink).collect()) == seen
+
+
 def test_recursive_fill_uses_own_predictions(spark):
     rows = [("e", s * 15, float(s) if s < 3 else None) for s in range(6)]
     df = spark.createDataFrame(rows, "entity string, t long, y double")
-    out = {r["t"]: r["pred"] for r in recursive_fill(df, "entity", "t", "y", 15,
-                                                       linear_predictor(1.0, 1.0), horizon=3).collect()}
+    out = {r["t"]: r["pred"] for r in recursive_fill(df, "entity", "t", "y", 15, linear_predictor(1.0, 1.0)).collect()}
     assert out == {45: 3.0, 60: 4.0, 75: 5.0}             # each step's lag_1 is the previous prediction
 
 
+def test_recursive_fill_covers_every_slot_over_days(spark):
+    import random
+    rng = random.Random(4)
+    rows = {}
+    for e in "ab":
+        for q in range(330):
+            if rng.random() < 0.8:
+                rows[e, q * 15] = float(q % 7) if q < 150 or rng.random() < 0.2 else None
+    df = spark.createDataFrame([(e, t, v) for (e, t), v in rows.items()], "entity string, t long, y double")
+    value, want = {k: v for k, v in rows.items() if v is not None}, {}
+    for e, t in sorted((k for k in rows if rows[k] is None), key=lambda k: k[1]):
+        base = value.get((e, t - 15))
+        base = value.get((e, t - 1440)) if base is None else base
+        want[e, t] = None if base is None else max(0.5 * base + 1, 0.0)
+        if base is not None:
+            value[e, t] = want[e, t]
+    out = recursive_fill(df, "entity", "t", "y", 15, linear_predictor(0.5, 1.0)).collect()
+    assert len(out) == len(want)
+    for r in out:
+        assert r["pred"] == pytest.approx(want[r["entity"], r["t"]]) if want[r["entity"], r["t"]] is not None else r["pred"] is None
+    slots = sorted({t for _, t in want})
+    assert all(slots[r["step"]] == r["t"] for r in out)
+    assert recursive_fill(df.where("y is not null"), "entity", "t", "y", 15, linear_predictor(1.0, 0.0)).count() == 0
+
+
+def test_cell_ids_of_many_users_stay_distinct(spark):
+    from panelcast.sources import fixtures as fx
+    u = F.col("id")
+    users = spark.createDataFrame([(i,) for i in (0, 32768, 65536, 150000, 150000 - 32768, 33554431)], "id long")
+    assert users.select(fx.cell_id(u).alias("g")).distinct().count() == 6
+    import duckdb
+    sql = duckdb.sql(f"SELECT u, {fx.CELL_ID_SQL} AS g FROM (SELECT unnest([0, 32768, 150000]) AS u)").fetchall()
+    assert dict(sql) == {r["id"]: r["g"] for r in users.select("id", fx.cell_id(u).alias("g")).where("id in (0, 32768, 150000)").collect()}
+
+
 def test_categorical_metadata(spark):
     from panelcast.plans.training import assemble
     df = spark.createDataFrame([(0.0, 1.5), (2.0, None)], "c double, x double")
