@@ -112,9 +112,6 @@ def _single_group(v: DataFrame, ranks: Mapping[str, RankFn], with_sum: bool, hot
     return combine_rows(totals, picked)
 
 
-MAX_DEPTH = 4
-
-
 def _hot_groups(v: DataFrame, gkeys: list[str], ranks: Mapping[str, RankFn], with_sum: bool,
                 hot_rows: int, buckets: int) -> DataFrame:
     """Order statistics of the hot groups (same output columns as the small path)."""
@@ -152,9 +149,9 @@ def _bucketed(v: DataFrame, gkeys: list[str], wants: DataFrame, hot_rows: int, b
     targets = (per_bucket.join(wants, gkeys)
                .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cb")))
                .select(*gkeys, b, "_name", (F.col("_rank") - F.col("_off")).alias("_local"), "_db"))
-    deep = (targets.where(F.col("_db") > hot_rows) if depth + 1 < MAX_DEPTH
-            else targets.where(F.lit(False)))
-    flat = targets.where(F.col("_db") <= hot_rows) if depth + 1 < MAX_DEPTH else targets
+    # as deep as it must: a bucket with more distinct values than hot_rows is cut again, and every cut
+    # leaves fewer distinct values in each bucket
+    deep, flat = targets.where(F.col("_db") > hot_rows), targets.where(F.col("_db") <= hot_rows)
 
     scan = d.join(flat.select(*gkeys, b).distinct(), gkeys + [b], "left_semi")
     scan = scan.withColumn("_cum", F.sum("_c").over(

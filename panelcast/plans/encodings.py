@@ -20,12 +20,18 @@ def cross_period_scale(features: DataFrame, spec: PanelSpec) -> DataFrame:
                         target=day >= spec.target_day)
 
 
+def keyed(specs, spec: PanelSpec) -> list[tuple]:
+    """Group specs with the column names of ``spec`` in place of the default cell and road columns."""
+    names = {"geohash": spec.entity, "RoadType": spec.road}
+    return [(tuple(names.get(k, k) for k in keys), prefix) for keys, prefix in specs]
+
+
 def encoding_inputs(spec: PanelSpec) -> list[str]:
     """The columns the fold encodings read (everything else can join back once, by row id)."""
-    keys = {k for ks, _ in LOO_TE_SPECS + SMOOTHED_TE_SPECS + GLOBAL_RT_SPECS for k in ks}
+    keys = {k for ks, _ in keyed(LOO_TE_SPECS + SMOOTHED_TE_SPECS + GLOBAL_RT_SPECS, spec) for k in ks}
     cols = [spec.row_id, spec.split, spec.target, spec.entity, spec.day, spec.clock, "hour", "lag_96",
             *sorted(keys)]
-    return list(dict.fromkeys(c if c != "geohash" else spec.entity for c in cols))
+    return list(dict.fromkeys(cols))
 
 
 def fold_scale(rows: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -86,13 +92,13 @@ def add_all_encodings(rows: DataFrame, spec: PanelSpec = PanelSpec(), scale: Dat
     """Smoothed RoadType TE, 8 LOO specs (mean + median), gh_count, gh_hr_std, lag96_dev,
     gh_day49_scale — and optionally the 2 global RoadType x time encodings (W8)."""
     y, rid = spec.target, spec.row_id
-    enc = encode_all(rows, y, rid, loo_specs=LOO_TE_SPECS, smoothed_specs=SMOOTHED_TE_SPECS,
+    enc = encode_all(rows, y, rid, loo_specs=keyed(LOO_TE_SPECS, spec), smoothed_specs=keyed(SMOOTHED_TE_SPECS, spec),
                      count_specs=[((spec.entity,), "gh_count")], std_specs=[((spec.entity, "hour"), "gh_hr_std")])
     if global_rt:
         if labelled is None:
             raise ValueError("global_rt needs the labelled rows")
         parts = [global_loo_encode(rows, global_key_stats(labelled, list(keys), y), list(keys), f"{prefix}_mean",
-                                   y, rid) for keys, prefix in GLOBAL_RT_SPECS]
+                                   y, rid) for keys, prefix in keyed(GLOBAL_RT_SPECS, spec)]
         enc = merge_encodings(enc, parts, rid)
     out = rows.join(enc, [rid, "fold"], "left")
     out = lag_deviation(out)

@@ -245,7 +245,8 @@ sc AS (SELECT trial, CASE WHEN max(iters) >= 7900 OR max(CASE WHEN fold = 4 THEN
 def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = materialized_features(spark, sf_dir, SPEC)
     vr = fold_rows(feats, SPEC, 5, include_test=False).where(F.col("role") == "val")
-    from panelcast.plans.training import sweep_table, sweep_scores
+    from panelcast.plans.training import sweep_scores
+    from panelcast.sources.predictions import sweep_table
     # every validation row once per trial: an explode, not a cross join
     tp = vr.select("fold", "Index", F.col("demand").alias("y"),
                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(39).cast("bigint"))).alias("trial"))
