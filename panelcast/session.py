@@ -58,6 +58,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def track(spark: SparkSession, path: str) -> str:
+    """Remember a table written to the shared folder, so that ``drop_tables`` can delete it."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_panelcast_tables"):
+        sc._panelcast_tables = []
+    sc._panelcast_tables.append(path)
+    return path
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete every intermediate table this application wrote to the shared folder; returns their number.
+    Call it when no DataFrame built on them is needed any more (they are never deleted on their own)."""
+    paths, spark.sparkContext._panelcast_tables = getattr(spark.sparkContext, "_panelcast_tables", []), []
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -65,6 +84,6 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     them instead of recomputing the lineage).  Parquet is used instead of an RDD checkpoint
     because it is columnar and compressed; RDD checkpoints serialise every row object."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/panelcast-{name}-{uuid.uuid4().hex}"
+    path = track(spark, f"{checkpoint_dir(spark).rstrip('/')}/panelcast-{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

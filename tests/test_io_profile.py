@@ -35,3 +35,16 @@ def test_profile_report_tables(spark):
     assert rep["shape"].count() == 2 and rep["deciles"].count() == 11
     assert rep["duplicates"].first()["duplicate_share"] == 0.0
     assert rep["histogram"].agg(F.sum("count")).first()[0] == rep["target"].first()["n"]
+
+
+def test_intermediate_tables_can_be_dropped(spark):
+    from panelcast.session import cut_lineage, drop_tables
+    from pyspark.errors import AnalysisException
+    df = cut_lineage(spark.range(3).toDF("x"))
+    path = spark.sparkContext._panelcast_tables[-1]
+    assert df.count() == 3 and spark.read.parquet(path).count() == 3
+    kept, spark.sparkContext._panelcast_tables = spark.sparkContext._panelcast_tables[:-1], [path]
+    assert drop_tables(spark) == 1 and drop_tables(spark) == 0
+    spark.sparkContext._panelcast_tables = kept
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
