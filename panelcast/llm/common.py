@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.session import checkpoint_dir
+from panelcast.session import checkpoint_dir, track
 
 #: Rows that a Python helper handles at once; bounds the objects alive beside the Arrow batch.
 SLICE_ROWS = 1000
@@ -39,8 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``); the folder is read
+    from the session, and ``panelcast.session.drop_tables`` deletes what is no longer needed."""
+    return track(spark, f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
