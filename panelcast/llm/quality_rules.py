@@ -52,23 +52,24 @@ def fences(groups: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP,
     texts, else from its language's, else from the whole table's."""
     def merged(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
         got = df.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(s, F.lit(SKETCH_K)).alias(s) for s in FENCED])
-        return quartiles(got, keys, tag)
+        return quartiles(got.where("n > 0"), keys, tag)
 
     def quartiles(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
         cols = [F.kll_sketch_get_quantile_double(s, F.lit(r)).alias(f"{tag}_{s}_{q}") for s in FENCED for q, r in _RANKS.items()]
         return df.select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], F.col("n").alias(f"{tag}_n"), *cols)
 
-    own, lang, whole = quartiles(groups, ["lang", "source"], "g"), merged(groups, ["lang"], "l"), merged(groups, [], "w")
-    # the whole table's row is one row, the languages' few: the join keys are equal by construction
-    df = own.join(lang, own["g_lang"].eqNullSafe(lang["l_lang"]), "left").withColumn("one_", F.lit(1)).join(whole.withColumn("one_", F.lit(1)), "one_", "left")
+    own, lang = quartiles(groups, ["lang", "source"], "g"), merged(groups, ["lang"], "l")
+    row = merged(groups, [], "w").first()  # one row, whatever the table's size; none without texts
+    whole = row.asDict() if row else {f"w_{s}_{q}": None for s in FENCED for q in _RANKS}
+    df = own.join(lang, own["g_lang"].eqNullSafe(lang["l_lang"]), "left")
 
     def fence(s: str, side: str, least: float) -> F.Column:
         def at(tag: str) -> F.Column:
-            lo, hi = F.col(f"{tag}_{s}_lo"), F.col(f"{tag}_{s}_hi")
+            lo, hi = (F.lit(whole[f"w_{s}_{q}"]).cast("double") if tag == "w" else F.col(f"{tag}_{s}_{q}") for q in ("lo", "hi"))
             width = reach * F.greatest(hi - lo, F.lit(least))
             return hi + width if side == "high" else lo - width
 
-        mid, all_ = F.col(f"w_{s}_mid"), at("w")
+        mid, all_ = F.lit(whole[f"w_{s}_mid"]).cast("double"), at("w")
         picked = F.when(F.col("g_n") >= min_group, at("g")).when(F.col("l_n") >= min_group, at("l")).otherwise(all_)
         bound = mid + spread * (all_ - mid)
         return (F.least(picked, bound) if side == "high" else F.greatest(picked, bound)).alias(f"fence_{s}")
