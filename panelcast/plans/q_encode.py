@@ -235,6 +235,19 @@ def q_cross_period_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cross_period_scale(_feature_rows(spark, sf_dir), SPEC), ["scale"])
 
 
+@query("cross_period_scale_slot", "A8",
+       _panel_sql(FEAT_SQL) + f""",
+per AS (SELECT geohash, time_of_day, avg(CASE WHEN day >= 12 THEN demand END) AS tg,
+               avg(CASE WHEN day < 12 THEN demand END) AS rf
+        FROM feat WHERE split = 'train' AND demand IS NOT NULL GROUP BY ALL)
+SELECT geohash, {rsql('avg(least(greatest(tg / greatest(rf, 1e-6), 0.2), 5.0))')} AS scale
+FROM per WHERE tg IS NOT NULL AND rf IS NOT NULL GROUP BY geohash""")
+def q_cross_period_scale_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ratio with the default slot, the exact time of day."""
+    from dataclasses import replace
+    return rounded(cross_period_scale(_feature_rows(spark, sf_dir), replace(SPEC, scale_slot="time_of_day")), ["scale"])
+
+
 @query("scale_summary", "A9",
        _panel_sql(FEAT_SQL) + f""",
 per AS (SELECT geohash, hour, avg(CASE WHEN day >= 12 THEN demand END) AS tg,
