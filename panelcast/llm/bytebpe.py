@@ -14,6 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import regex
 
+from panelcast.llm.common import own_memory
+
 # Fixed value: the published split rule of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPLIT = regex.compile(SPLIT)
@@ -167,7 +169,7 @@ class Encoder:
     beyond that it starts anew, which costs time only.
     """
 
-    def __init__(self, path: str, value, limit: int = 1_000_000):
+    def __init__(self, path: str, value, limit: int = 600_000):
         """``value(list of pre-token bytes) -> list`` gives what is kept for each pre-token;
         values of consecutive pre-tokens are added with ``+``."""
         self.bpe, self.value, self.limit = load(path), value, limit
@@ -250,6 +252,7 @@ _ENCODERS: dict = {}
 
 def encoder(path: str, kind: str, value) -> Encoder:
     """The process-wide encoder for a file and a kind of value."""
+    own_memory("bytebpe", _ENCODERS.clear)
     if (path, kind) not in _ENCODERS:
         _ENCODERS[path, kind] = Encoder(path, value)
     return _ENCODERS[path, kind]

@@ -70,6 +70,21 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema, slice
     return df.mapInArrow(run, kind)
 
 
+_OWNERS: dict[str, Callable[[], None]] = {}
+_ACTIVE = ""
+
+
+def own_memory(name: str, clear: Callable[[], None]) -> None:
+    """Say that ``name`` uses this process's memory from now on: what other operators have remembered in
+    the same Python worker is dropped, so the bounds of single operators don't add up."""
+    global _ACTIVE
+    if _ACTIVE != name:
+        _OWNERS[name], _ACTIVE = clear, name
+        for k, f in _OWNERS.items():
+            if k != name:
+                f()
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for documents that no model may learn from: crc32 of the id as text, modulo 5, is 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

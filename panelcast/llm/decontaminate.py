@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,13 +192,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, min_words
     columns = docs.columns
     for shared in item_blocks(benchmark, block_bytes):
         def run(batch: pa.RecordBatch, shared=shared) -> dict:
-            got = matcher(shared.value, edits, min_words)(batch.column(1).to_pylist())
+            got = matcher(shared.value, edits, min_words)(pc.struct_field(batch.column(0), "text").to_pylist())
             keep = np.ones(batch.num_rows, bool)
             keep[[g[0] for g in got]] = False
             return {"row_": batch.column(0).filter(pa.array(keep))}
 
-        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), F.col("text").alias("text"))
-        left = map_arrow(packed, run, packed.select("row_").schema)
+        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"))
+        left = map_arrow(packed, run, packed.schema)
         docs = left.select(*[F.col("row_").getField(c).alias(c) for c in columns])
     return docs
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import map_arrow
+from panelcast.llm.common import map_arrow, own_memory
 
 # Characters of markup and tables, white space, word window of a repeat.
 SYMBOLS = b"#*$%&|<>"
@@ -70,8 +71,8 @@ def text_stats(text: str | None) -> tuple[int, ...]:
     )
 
 
-def with_stats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """``keep`` columns, the COUNTS (long) and the RATIOS (double, 0 where the denominator is 0)."""
+def with_stats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang", "source"), inside: bool = False) -> DataFrame:
+    """``keep`` columns (with ``inside`` the text is a field of the first, a struct), the COUNTS (long) and the RATIOS (double, 0 where the denominator is 0)."""
     from pyspark.sql.types import LongType, StructType
 
     schema = StructType()
@@ -81,8 +82,10 @@ def with_stats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
         schema = schema.add(c, LongType())
 
     def run(batch: pa.RecordBatch) -> dict:
-        cols = dict(zip(COUNTS, zip(*map(text_stats, batch.column(len(keep)).to_pylist()))))
+        own_memory("doc_stats", lambda: None)
+        texts = pc.struct_field(batch.column(0), text) if inside else batch.column(len(keep))
+        cols = dict(zip(COUNTS, zip(*map(text_stats, texts.to_pylist()))))
         return {c: batch.column(i) for i, c in enumerate(keep)} | cols
 
-    out = map_arrow(docs.select(*keep, F.col(text).alias("text_")), run, schema)
+    out = map_arrow(docs.select(*keep, *([] if inside else [F.col(text).alias("text_")])), run, schema, slice_rows=500)
     return out.withColumns({r: F.when(F.col(d) > 0, F.col(n) / F.col(d)).otherwise(0.0) for r, (n, d) in RATIOS.items()})

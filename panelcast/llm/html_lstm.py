@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import crc_rest, map_arrow, table
+from panelcast.llm.common import crc_rest, map_arrow, own_memory, table
 from panelcast.llm.html_blocks import blocks
 
 PATH_DIMS, TAG_DIMS, WORD_DIMS, SIZES, HIDDEN = 96, 32, 32, 6, 24
@@ -257,6 +257,7 @@ def extract(pages: DataFrame, net: BiLstm, threshold: float = 0.5) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast(net.w)
 
     def run(batch: pa.RecordBatch) -> dict:
+        own_memory("html_lstm", _HASHES.clear)
         found = [blocks(p) for p in batch.column(2).to_pylist()]
         chosen = BiLstm(shared.value).probabilities([vectors(b) for b in found])
         texts = [" ".join(t for (_, t, _), p in zip(b, ps) if p >= threshold) for b, ps in zip(found, chosen)]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import crc_rest, held_out, map_arrow, table
+from panelcast.llm.common import crc_rest, held_out, map_arrow, own_memory, table
 
 DICT_BYTES, SAMPLE_CHARS, PIECE_BYTES, MIN_MARGIN, SCALE = 96 << 10, 2000, 4096, 0.01, 6.0
 # Characters that tell nothing of a language.
@@ -95,6 +95,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], min_margin:
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # DICT_BYTES per language
 
     def run(batch: pa.RecordBatch) -> dict:
+        own_memory("language_id", _READY.clear)
         key = hash(tuple(shared.value))
         if key not in _READY:
             _READY.clear()

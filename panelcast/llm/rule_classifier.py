@@ -127,8 +127,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     picked = teach.where(crc_rest("doc_id", mod, "rules") < min(mod, int(mod * max_rows / max(1, n)))).select("doc_id").distinct()
     sample = saved(with_stats(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), keep=("doc_id",)), "rule-stats")
     model = fit(saved(training_rows(sample, labels, max_rows).coalesce(4), "rule-sample"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), F.col("text").alias("text"))
-    scored = with_stats(packed, keep=("row_",)).where(model.score() >= threshold)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"))
+    scored = with_stats(packed, keep=("row_",), inside=True).where(model.score() >= threshold)
     return scored.select(*[F.col("row_").getField(c).alias(c) for c in docs.columns])
 
 

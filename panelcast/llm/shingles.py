@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from panelcast.llm.common import own_memory
+
 WORDS = 5
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -20,6 +22,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    own_memory("shingles", _KNOWN.clear)
     if len(_KNOWN) > _LIMIT:
         _KNOWN.clear()
     known = _KNOWN

@@ -179,9 +179,9 @@ def cover(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def with_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, th, text and spans (null: none) for every row, and the columns ``keep`` in a struct ``rest``."""
+    """doc_id, th, text and spans (null: none) for every row, and in a struct ``rest`` the columns ``keep`` and whether the text was null."""
     spans = repeated_spans(named(docs), span, heavy).withColumnsRenamed({"doc_id": "d_", "th": "t_"})
-    rest = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("int")
+    rest = F.struct(F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in keep]).alias("cols"), F.col("text").isNull().alias("null")) if keep is not None else F.lit(None).cast("int")
     rows = named(docs, rest)
     return rows.join(spans, rows["doc_id"].eqNullSafe(F.col("d_")) & (F.col("th") == F.col("t_")), "left").select("doc_id", "th", "text", "spans", "rest")
 
@@ -206,7 +206,7 @@ def without_spans(text: str, spans: list[dict] | None) -> str:
 
 def deduplicated(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataFrame:
     """The rows of ``docs`` (all columns) with the repeated passages cut out of ``text``."""
-    rows = with_spans(docs, span, heavy, docs.columns).select("rest", "text", "spans")
+    rows = with_spans(docs, span, heavy, [c for c in docs.columns if c != "text"]).select("rest", "text", "spans")
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = [without_spans(t, s) if s else t for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
@@ -214,10 +214,9 @@ def deduplicated(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataF
 
     from pyspark.sql.types import StringType
 
-    out = map_arrow(rows, run, rows.select("rest").schema.add("new_", StringType()))
-    # a null text stays null
-    text = F.when(F.col("rest").getField("text").isNotNull(), F.col("new_"))
-    return out.select(*[(text if c == "text" else F.col("rest").getField(c)).alias(c) for c in docs.columns])
+    out = map_arrow(rows, run, rows.select("rest").schema.add("new_", StringType()), slice_rows=500)
+    text = F.when(~F.col("rest.null"), F.col("new_"))  # a null text stays null
+    return out.select(*[(text if c == "text" else F.col("rest.cols").getField(c)).alias(c) for c in docs.columns])
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

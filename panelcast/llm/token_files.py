@@ -31,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import scratch, table
+from panelcast.llm.common import own_memory, scratch, table
 
 SEQ_LEN = 1024
 BATCH_SEQS = 64
@@ -84,6 +84,7 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def _encoder(path: str) -> ChunkEncoder:
+    own_memory("token_files", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]
