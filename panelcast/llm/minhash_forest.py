@@ -13,8 +13,16 @@
 5. Confirmed links give components.  Then every region emits the candidates that lie between
    different components, all of them; those are confirmed too, and components are final.
 
-Regions that stay too large at full depth hold classes with equal signatures; they are cut in the order
-of (set size, class), neighbouring cuts overlap by one class, so they stay connected.
+A deeper prefix alone loses pairs that met at ``FIRST`` minima and part further down.  So the classes of
+regions that are too large at ``FIRST`` (dense classes) also meet by an exact filter in step 5: sets at the
+threshold share one of the first n - ceil(85 % of n) + 1 shingles in any common order.  The order is rarest
+first, by counts among the dense classes, so shingles of a template come last.  A shingle whose classes are
+all of one component adds nothing; one with more than ``REGION`` classes is spread over blocks in which every
+pair of different components still meets.  Before that, random pieces of the large regions connect groups
+of near copies.
+
+Regions that stay too large at full depth hold classes with equal signatures; they are cut into hash pieces
+that share the smallest class, so they stay connected.
 
 Nulls and edge cases: null and empty texts have an empty set, link with nothing and are kept; rows
 without doc_id link with nothing, have a null component_id and are kept; repeated rows (same doc_id and
@@ -37,6 +45,8 @@ from panelcast.llm.shingles import MinHash, mixed, shingle_set
 
 PERCENT, TREES, FIRST, REGION, GROWTH = 85, 24, 5, 256, 1.6
 SIZE = TREES * FIRST
+#: Counters of the approximate shingle counts that order the shingles of dense classes; every third order's pieces are enough to connect copies.
+SLOTS, EVERY = 1 << 20, 3
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -78,9 +88,10 @@ def _keyed(rows: DataFrame, depth: int, tree: str | None) -> DataFrame:
     return map_arrow(rows, run, "key long, tree int, cid long")
 
 
-def regions(classes: DataFrame) -> DataFrame:
-    """(region, cid) of all regions with 2 to REGION classes, each as deep as it must be."""
-    depth, found = FIRST, None
+def regions(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(region, cid) of all regions with 2 to REGION classes, each as deep as it must be; and the rows
+    (key, tree, cid, n) of the regions that are larger at depth FIRST, None without such."""
+    depth, found, dense = FIRST, None, None
     rows = region_rows(classes, depth)
     while True:
         sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -89,22 +100,74 @@ def regions(classes: DataFrame) -> DataFrame:
         found = done if found is None else found.union(done)
         over = held.where(F.col("n") > REGION)
         if over.isEmpty():
-            return found
+            return found, dense
+        dense = over if dense is None else dense
         if depth == SIZE:
-            return found.union(cut(over, classes))
+            return found.union(cut(over)), dense
         depth = min(SIZE, int(depth * GROWTH) + 1)
         rows = _keyed(over.select("cid", "tree").join(classes.select("cid", "sig"), "cid").select("cid", "sig", "tree"), depth, "tree")
 
 
-def cut(over: DataFrame, classes: DataFrame) -> DataFrame:
-    """Regions of equal signatures in pieces along (set size, cid): hash pieces of bounded expected size,
-    each with the smallest class of the region, which connects them."""
+def cut(over: DataFrame) -> DataFrame:
+    """Too large regions in hash pieces of bounded expected size, each with the smallest class of the
+    region, which connects them if the signatures are equal."""
     lead = over.groupBy("key").agg(F.min("cid").alias("lead"))
     piece = F.xxhash64("key", F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / (REGION // 4))))
     pieces = over.join(lead, "key").withColumn("region", piece)
     return pieces.select("region", "cid").union(pieces.select("region", F.col("lead").alias("cid"))).distinct()
 
 
+def rare_first(cids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, cid): the shingles of every class in ``cids`` of which two sets at the threshold share one."""
+    own = sets.join(cids, "cid").select("cid", "shingles")
+
+    def slots(shingles: np.ndarray) -> np.ndarray:
+        return (mixed(shingles) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                np.add.at(counts, slots(np.frombuffer(x.as_buffer(), np.uint64)), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    total = own.select("shingles").mapInArrow(tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[total.column("slot").to_numpy()] = total.column("n").to_numpy()
+    shared = own.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batch: pa.RecordBatch) -> dict:
+        keys, names = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for cid, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            s = np.frombuffer(x.as_buffer(), np.uint64)
+            n = len(s) - -(-PERCENT * len(s) // 100) + 1
+            keys.append(s[np.lexsort((s, shared.value[slots(s)]))[:n]])
+            names.append(np.full(n, cid))
+        return {"key": np.concatenate(keys).view(np.int64), "cid": np.concatenate(names)}
+
+    return map_arrow(own, first, "key long, cid long", slice_rows=50)
+
+
+def dense_regions(cids: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(region, cid) in which all pairs of dense classes meet that may reach the threshold and lie in different components."""
+    rows = rare_first(cids, sets).join(comps, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
+    rows = saved(rows, "rare")
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    mixed_keys = parts.groupBy("key").agg(F.sum("c").alias("n"), F.count("*").alias("comps"), F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("top")).where("comps > 1")
+    held = saved(rows.join(mixed_keys, "key"), "rare")
+    small = held.where(F.col("n") <= REGION).select(F.xxhash64("key").alias("region"), "cid")
+    # the largest component's classes need only meet the others: both sides go in blocks, each block of
+    # the others meets every block
+    half = REGION // 2
+    main, others = F.ceil(F.col("top") / half), F.ceil((F.col("n") - F.col("top")) / half)
+    big = held.where(F.col("n") > REGION).withColumn("k", main).withColumn("j", others).withColumn("is_main", F.col("component") == F.col("main"))
+    big = big.withColumn("own", F.pmod(F.xxhash64("cid", "key"), F.when(F.col("is_main"), F.col("k")).otherwise(F.col("j"))))
+    to_others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("j") - 1), lambda q: F.xxhash64("key", F.when(F.col("is_main"), F.lit("m")).otherwise(F.lit("o")), F.when(F.col("is_main"), F.col("own")).otherwise(F.least("own", q)), F.when(F.col("is_main"), q).otherwise(F.greatest("own", q))))
+    to_main = F.when(~F.col("is_main"), F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda p: F.xxhash64("key", F.lit("m"), p, F.col("own")))).otherwise(F.array().cast("array<bigint>"))
+    return small.union(big.select(F.explode(F.concat(to_others, to_main)).alias("region"), "cid"))
+
+
 def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, least: float) -> list[tuple[int, int]]:
     """Candidate pairs of one region.  Without components a maximum spanning forest of the agreement of
     the signatures; with components all candidates between different ones."""
@@ -146,7 +209,7 @@ def candidates(members: DataFrame, classes: DataFrame, comps: DataFrame | None)
             cids = np.array(group["cid"], np.int64)
             if len(cids) < 2:
                 continue
-            sigs = np.frombuffer(b"".join(group["sig"]), ">u4").reshape(len(cids), SIZE)
+            sigs = np.frombuffer(b"".join(group["sig"]), ">u4" if len(group["sig"][0]) == 4 * SIZE else "u1").reshape(len(cids), SIZE)
             pairs = forest_pairs(cids, sigs, np.array(group["component"]) if with_comps else None, least)
             if pairs:
                 a, b = np.array(pairs, np.int64).T
@@ -177,6 +240,14 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str = "region") -> Ite
         yield held
 
 
+def low_bytes(classes: DataFrame) -> DataFrame:
+    """(cid, sig) with one byte of each minimum: equal minima have equal bytes, at a quarter of the size."""
+    def run(batch: pa.RecordBatch) -> dict:
+        return {"cid": batch.column(0), "sig": [s[3::4] for s in batch.column(1).to_pylist()]}
+
+    return map_arrow(classes.select("cid", "sig"), run, "cid long, sig binary")
+
+
 def full_sets(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(cid, shingles): the full shingle set of every class in a region; texts are read once for all rounds."""
     ids = members.select("cid").distinct().join(classes.select("cid", "h1"), "cid")
@@ -212,12 +283,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = saved(signed(docs), "signed")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = saved(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
-    members = saved(regions(classes), "members")
-    pairs = saved(candidates(members, classes, None), "pairs")
-    sets = saved(full_sets(members, docs, classes), "sets")
+    members, over = regions(classes)
+    members, first, used = saved(members, "members"), None, None
+    if over is not None:
+        cids = saved(over.select("cid").distinct(), "dense")
+        first, used = members.union(cut(over.where(F.col("tree") % EVERY == 0))), members.select("cid").union(cids)
+    pairs = saved(candidates(members if first is None else first, classes, None), "pairs")
+    sets = saved(full_sets(members if used is None else used, docs, classes), "sets")
     links = saved(confirmed(pairs, sets), "links")
     comps = components(links)
-    more = saved(candidates(members, classes, comps).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = candidates(members, classes, comps)
+    if over is not None:
+        more = more.union(candidates(dense_regions(cids, sets, comps), low_bytes(classes), comps)).distinct()
+    more = saved(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         again = saved(confirmed(more, sets), "links")
         if not again.isEmpty():

@@ -69,6 +69,26 @@ def test_components_equal_brute_force(spark, monkeypatch, region):
     assert {r["doc_id"]: r["n_shingles"] for r in out} == {i: len(shingle_set(t)) for i, t in rows}
 
 
+def test_dense_regions_keep_pairs_at_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "REGION", 4)
+    rng, rows = random.Random(5), []
+    template = prose(rng, 600).split()
+
+    def edited(words, n):
+        out = list(words)
+        for i in rng.sample(range(len(out)), n):
+            out[i] = prose(rng, 1) + "x"
+        return out
+
+    pages = [edited(template, 7) for _ in range(220)]
+    rows = [" ".join(w) for w in pages] + [" ".join(edited(w, 8)) for w in pages[:30]]
+    rows = list(enumerate(rows, 1))
+    want = brute_components(rows)
+    assert len({c for c in want.values()}) > 150 and sum(i != c for i, c in want.items()) >= 30
+    out = minhash_forest.near_duplicates(frame(spark, rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
 def test_near_duplicates_edge_cases(spark):
     rows = frame(spark, [(1, None), (2, ""), (None, "a b c"), (4, "a b c"), (5, "A b C"), (5, "A b C"), (5, "other text"), (7, "w " * 100_000)])
     out = minhash_forest.near_duplicates(rows).collect()
