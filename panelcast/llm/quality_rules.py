@@ -10,9 +10,9 @@ reading a document again.  A second step joins the fences to the documents and f
 Base rules come first: fewer than 20 words, or more than 30 % of the words in repeated 8-word windows.
 Documents that fail them neither enter a sketch nor are kept.
 
-Against a hot group (a third of all rows may be copies of one text) no fence of a group reaches beyond
-``spread`` times the distance of the whole table's fence from the whole table's median, and every
-text counts once in a sketch however often it is copied.
+Against a hot group (a third of all rows may be copies of one text) every text counts once in a sketch
+however often it is copied.  A group with ``min_group`` texts is judged by its own quartiles alone, so a
+clean minority language or source may differ from the rest of the table as far as it does.
 
 Nulls and edge cases: null lang and null source are groups of their own; a null text has no words and
 fails the base rules; repeated rows are judged alike; an empty table gives an empty result.  Clashing
@@ -33,8 +33,8 @@ FENCED = {
     "top_ratio": ("high", 0.04), "mean_word": ("high", 0.4), "long_ratio": ("high", 0.05), "unique_ratio": ("low", 0.04),
 }
 MIN_WORDS, MAX_REPEAT_PCT = 20, 30
-REACH, MIN_GROUP, SPREAD, SKETCH_K = 4.0, 50, 1.5, 400
-_RANKS = {"lo": 0.25, "mid": 0.5, "hi": 0.75}
+REACH, MIN_GROUP, SKETCH_K = 4.0, 50, 400
+_RANKS = {"lo": 0.25, "hi": 0.75}
 
 
 def base_failed() -> F.Column:
@@ -47,7 +47,7 @@ def sketch_groups(stats: DataFrame) -> DataFrame:
     return once.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(s, F.lit(SKETCH_K)).alias(s) for s in FENCED])
 
 
-def fences(groups: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP, spread: float = SPREAD) -> DataFrame:
+def fences(groups: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP) -> DataFrame:
     """(lang, source) -> one fence per statistic, from the group's own sketch if it has ``min_group``
     texts, else from its language's, else from the whole table's."""
     def merged(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
@@ -69,19 +69,16 @@ def fences(groups: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP,
             width = reach * F.greatest(hi - lo, F.lit(least))
             return hi + width if side == "high" else lo - width
 
-        mid, all_ = F.lit(whole[f"w_{s}_mid"]).cast("double"), at("w")
-        picked = F.when(F.col("g_n") >= min_group, at("g")).when(F.col("l_n") >= min_group, at("l")).otherwise(all_)
-        bound = mid + spread * (all_ - mid)
-        return (F.least(picked, bound) if side == "high" else F.greatest(picked, bound)).alias(f"fence_{s}")
+        return F.when(F.col("g_n") >= min_group, at("g")).when(F.col("l_n") >= min_group, at("l")).otherwise(at("w")).alias(f"fence_{s}")
 
     return df.select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), F.col("g_n").alias("group_texts"), *[fence(s, *how) for s, how in FENCED.items()])
 
 
-def judge(docs: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP, spread: float = SPREAD) -> DataFrame:
+def judge(docs: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP) -> DataFrame:
     """Statistics, fences, base_failed, the list of failed rules and kept, per document."""
     hashed = docs.select("doc_id", "lang", "source", "text", F.xxhash64("text").alias("text_hash"))
     stats = saved(with_stats(hashed, keep=("doc_id", "lang", "source", "text_hash")).withColumn("base_failed", base_failed()), "stats")
-    limits = saved(fences(sketch_groups(stats.where(~F.col("base_failed"))), reach, min_group, spread), "fences")
+    limits = saved(fences(sketch_groups(stats.where(~F.col("base_failed"))), reach, min_group), "fences")
     df = stats.join(limits, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
     fails = [F.when((F.col(s) > F.col(f"fence_{s}")) if side == "high" else (F.col(s) < F.col(f"fence_{s}")), F.lit(s)) for s, (side, _) in FENCED.items()]
     return df.withColumn("failed_rules", F.array_compact(F.array(*fails))).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))

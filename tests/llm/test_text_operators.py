@@ -56,6 +56,17 @@ def test_fences_follow_the_quartiles(spark):
     assert pdf.fence_mean_word.iloc[0] == pytest.approx(hi + 4 * max(hi - lo, 0.4), abs=0.05)
 
 
+def test_clean_minority_language_has_its_own_fences(spark):
+    rng = np.random.default_rng(4)
+
+    def text(low, high):
+        return " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(low, high))) for _ in range(60))
+
+    rows = [(i, text(3, 7), "en", "s") for i in range(500)] + [(1000 + i, text(12, 18), "zh", "t") for i in range(80)]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(frame(spark, rows + [(2000, text(40, 50), "zh", "t")])).collect()}
+    assert all(kept[i] for i, *_ in rows) and not kept[2000]
+
+
 def test_rules_keep_good_documents(spark):
     out = quality_rules.op2_quality_rules(spark, SF2).toPandas().merge(pd.read_parquet(f"{SF2}/labels.parquet"), on="doc_id")
     judged = out[~out.base_failed]
