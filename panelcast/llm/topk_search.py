@@ -33,6 +33,7 @@ GROUP_ROWS = 32_768
 #: Queries that meet a group at once: bounds the block of scores (rows of a group x queries x parts).
 BLOCK = 32
 PARTS = 4
+LONG = (1 << 63) - 1
 
 FOUND = "query long, query_id long, rid long, vec_id long, score long"
 
@@ -117,7 +118,7 @@ def _search(width: int, k: int, parts: int, phase: int):
                         order = sorted(range(len(seats)), key=lambda j: (-total[j], not known[seats[j]], ids[seats[j]], rids[seats[j]]))[:k]
                         for j in order:
                             s = seats[j]
-                            for col, x in zip(out, (q, qid, int(rids[s]), int(ids[s]) if known[s] else None, int(total[j]))):
+                            for col, x in zip(out, (q, qid, int(rids[s]), int(ids[s]) if known[s] else None, min(max(int(total[j]), -LONG), LONG))):
                                 col.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query", "query_id", "rid", "vec_id", "score"])
 
@@ -134,8 +135,9 @@ def top_k(df: DataFrame, queries: Callable[[Column], Column], k: int = 5, id_col
     of null.  Vectors that are null or hold null or non-finite components take no part; a shorter vector counts
     as if it ended in zeros, an empty one scores 0.  Rows that repeat an id are rows of their own: each is
     a candidate for the others, and each gets its own list as a query.  Fewer than ``k`` other rows: all
-    of them.  An empty table gives an empty result.  Other columns of the table are not read.  Scores must
-    fit a long; sums that float64 can't hold exactly are computed with Python integers."""
+    of them.  An empty table gives an empty result.  Other columns of the table are not read.  Sums that
+    float64 can't hold exactly are computed with Python integers; scores beyond a long stop at its ends and
+    then tie."""
     spark = df.sparkSession
     ship(spark)
     rows = saved(integer_rows(df, vec_col, scale, vec_id=id_col), "topk-rows")

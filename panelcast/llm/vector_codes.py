@@ -28,7 +28,7 @@ LONG_MAX = (1 << 63) - 1
 
 def _parts(rows: np.ndarray, parts: int) -> np.ndarray:
     """(n, parts * w) -> (parts, n, w)."""
-    return np.ascontiguousarray(rows.reshape(len(rows), parts, -1).transpose(1, 0, 2))
+    return np.ascontiguousarray(rows.reshape(len(rows), parts, rows.shape[1] // parts).transpose(1, 0, 2))
 
 
 def assign(points: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
