@@ -1,25 +1,25 @@
-"""Exact order statistics (medians, quantiles, LOO-median sketches) that stay skew-safe.
+"""Exact order statistics (medians, quantiles, LOO-median sketches) from one rank table.
 
 Spark's ``percentile``/``median`` keep one value->count map per group and merge it in a
 single task, so one huge group (a hot key, or the global median over all rows) ends up
-in one task's memory.  Here the work is split:
-
-1. Groups with more than ``hot_rows`` rows get ``buckets`` value boundaries from
-   ``percentile_approx`` (a bounded, mergeable sketch).
-2. ``D`` = distinct (group, bucket, value) with their counts — a partial aggregation, so a
-   value that repeats a billion times collapses map-side.
-3. Per (group, bucket) counts and a running sum over the (small) bucket table give the
-   rank range of each bucket.
-4. Only the buckets that contain a requested rank are scanned; inside them a running
-   count over the distinct values finds the exact value at each rank.  A target bucket with
-   more than ``hot_rows`` distinct values is bucketed again (recursively).
-
-Every window is partitioned by the group *and* the bucket, so no task sees more than one
-bounded bucket of one group.  The result is exact; the sketch only decides where to cut.
-
-Groups with at most ``hot_rows`` rows (almost all of them) skip the bucketing: one grouped
-aggregation keeps their values as a sorted array — bounded by ``hot_rows`` — and picks the
-ranks from it.  Only the few hot groups take the bucketed path.
+in one task's memory.  Here every group, small or huge, takes the same path:
+
+1. ``D`` = distinct (group, value) with their counts — a partial aggregation, so a value that
+   repeats a billion times collapses map-side.
+2. ``D`` is dealt by RANGE of (group, value) and written.  Its rows are distinct, so the
+   partitions are balanced whatever the ties: a hot group spreads over many partitions,
+   many small groups share one.
+3. Per (group, partition) totals — about one row per group — and their running sums give
+   the ranks that each partition of a group starts at.
+4. The start joins its partition's rows as one more row in front of them; a running count over
+   (group, partition), ordered by value, finds the value at every requested rank.
+
+There is no recursion and no threshold, every window is bounded by one range partition, and
+the sampling behind the range only decides where to cut.
+
+``cohorts`` are conditions on the rows (folds, say): each counts its own rows in the same
+table, so the medians of all folds come from one grouping of unexploded rows.  Moments come
+with it: the mean is known when the rows are passed, so squares are taken about it.
 """
 
 from __future__ import annotations
@@ -29,142 +29,61 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.operators.rows import combine_rows, scalar
-
-HOT_ROWS = 1_000_000
-BUCKETS = 512
-SKETCH_ACCURACY = 20_000
+from panelcast.session import cut_lineage
 
 RankFn = Callable[[Column], Column]
 
 
+def rank_table(df: DataFrame, keys: Sequence[str], value: str | Column, ranks: Mapping[str, RankFn],
+               cohorts: Sequence[Column]) -> DataFrame:
+    """Per group of ``keys``: ``_st``, an array with one struct per cohort: ``_n`` (non-null count),
+    ``_sum``, ``_m2`` (squares about the mean) and, for every ``name -> fn`` in ``ranks``, the exact
+    value at 0-based rank ``fn(_n)`` (NULL when the rank is outside ``[0, _n)``).  ``keys`` may be
+    empty (one global group).  NULL keys make a group of their own."""
+    keys, some = list(keys), range(len(cohorts))
+    vcol = F.col(value) if isinstance(value, str) else value
+    v = df.select(*keys, vcol.cast("double").alias("_v"), *[c.alias(f"_in{i}") for i, c in enumerate(cohorts)])
+    d = (v.where(F.col("_v").isNotNull()).groupBy(*keys, "_v")
+         .agg(*[F.count(F.when(F.col(f"_in{i}"), 1)).alias(f"_c{i}") for i in some]))
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut_lineage(d.repartitionByRange(parts, *keys, "_v").withColumn("_part", F.spark_partition_id()), "ranks")
+
+    whole = Window.partitionBy(*keys)
+    ahead = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*keys, "_part").agg(*[F.sum(f"_c{i}").alias(f"_t{i}") for i in some],
+                                               *[F.sum(F.col("_v") * F.col(f"_c{i}")).alias(f"_q{i}") for i in some])
+    starts = starts.select(*keys, "_part", F.lit(None).cast("double").alias("_v"),
+                           *[F.coalesce(F.sum(f"_t{i}").over(ahead), F.lit(0)).alias(f"_c{i}") for i in some],
+                           F.array(*[F.sum(f"_{x}{i}").over(whole).cast("double") for x in "tq" for i in some]).alias("_whole"))
+    seen = (Window.partitionBy(*keys, "_part").orderBy(F.asc_nulls_first("_v"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = starts.unionByName(dealt, allowMissingColumns=True).select(
+        *keys, "_v", *[F.col(f"_c{i}") for i in some], *[F.sum(f"_c{i}").over(seen).alias(f"_u{i}") for i in some],
+        F.first("_whole").over(seen).alias("_whole"))        # the start comes first: counts and sums of its group
+    run = run.select("*", *[F.get("_whole", F.lit(k)).alias(f"_{x}{i}") for k, (x, i) in enumerate((x, i) for x in "ns" for i in some)])
+    # the row that holds a group's start is not one of its values
+    real = F.col("_v").isNotNull()
+    aggs = []
+    for i in some:
+        c, u, n, s = (F.col(f"_{x}{i}") for x in "cuns")
+        aggs += [F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(f"_n{i}"), F.max(s).alias(f"_s{i}"),
+                 F.sum(F.when(real & (c > 0), c * (F.col("_v") - s / n) * (F.col("_v") - s / n))).alias(f"_m{i}")]
+        for k, fn in enumerate(ranks.values()):
+            r = fn(n).cast("bigint")
+            aggs.append(F.max(F.when(real & (r >= u - c) & (r < u), F.col("_v"))).alias(f"_r{i}_{k}"))
+    found = run.groupBy(*keys).agg(*aggs)
+    one = [F.struct(F.col(f"_n{i}").alias("_n"), F.when(F.col(f"_n{i}") > 0, F.col(f"_s{i}")).alias("_sum"), F.col(f"_m{i}").alias("_m2"),
+                    *[F.col(f"_r{i}_{k}").alias(name) for k, name in enumerate(ranks)]) for i in some]
+    return found.select(*keys, F.array(*one).alias("_st"))
+
+
 def order_stats(df: DataFrame, keys: Sequence[str], value: str | Column,
-                ranks: Mapping[str, RankFn], with_sum: bool = False,
-                hot_rows: int = HOT_ROWS, buckets: int = BUCKETS) -> DataFrame:
+                ranks: Mapping[str, RankFn], with_sum: bool = False) -> DataFrame:
     """Per group of ``keys``: ``_n`` (non-null count), optional ``_sum``, and for every
     ``name -> fn`` in ``ranks`` the exact value at 0-based rank ``fn(_n)`` (NULL when the
     rank is outside ``[0, _n)``).  ``keys`` may be empty (one global group)."""
-    keys = list(keys)
-    vcol = F.col(value) if isinstance(value, str) else value
-    v = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if not keys:
-        return _single_group(v, ranks, with_sum, hot_rows, buckets)
-    gkeys = keys
-
-    sizes = v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select(*gkeys)          # at most rows / hot_rows groups
-    small_v = v.join(hot, gkeys, "left_anti")
-    arr = F.sort_array(F.collect_list("_v"))                           # <= hot_rows values per group
-    small = small_v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"),
-                                        *([F.sum("_v").alias("_sum")] if with_sum else []), arr.alias("_arr"))
-    picks = []
-    for name, fn in ranks.items():
-        r = fn(F.col("_n")).cast("bigint")
-        picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
-    small = small.select(*gkeys, "_n", *(["_sum"] if with_sum else []), *picks)
-    # One cheap pass decides whether the bucketed branch is needed at all; without hot groups
-    # the plan is just the grouped small path.
-    if hot.limit(1).count():
-        small = small.unionByName(_hot_groups(v.join(hot, gkeys, "left_semi"), gkeys, ranks, with_sum,
-                                              hot_rows, buckets))
-    return small
-
-
-def _single_group(v: DataFrame, ranks: Mapping[str, RankFn], with_sum: bool, hot_rows: int,
-                  buckets: int) -> DataFrame:
-    """One global group, without any join on a constant key.
-
-    Up to ``hot_rows`` rows: one keyless aggregation keeps the sorted values.  Larger: the
-    sketch bounds (``buckets - 1`` numbers) become a literal, the rows get a real bucket
-    column, the per-bucket counts (at most ``buckets`` rows) give each requested rank's
-    bucket and local rank, and the keyed bucketed search runs on the bucket column."""
-    spark = v.sparkSession
-    agg = [F.count(F.lit(1)).alias("_n")] + ([F.sum("_v").alias("_sum")] if with_sum else [])
-    totals = v.agg(*agg)
-    n = scalar(totals, "_n") or 0
-    if n <= hot_rows:
-        st = v.agg(*agg, F.sort_array(F.collect_list("_v")).alias("_arr"))
-        picks = []
-        for name, fn in ranks.items():
-            r = fn(F.col("_n")).cast("bigint")
-            picks.append(F.when((r >= 0) & (r < F.col("_n")), F.element_at("_arr", (r + 1).cast("int"))).alias(name))
-        return st.select("_n", *(["_sum"] if with_sum else []), *picks)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = scalar(v.agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds")), "_bounds")
-    vb = v.withColumn("_top", F.size(F.filter(F.array(*[F.lit(float(x)) for x in bounds]),
-                                                lambda x: x <= F.col("_v"))))
-    counts = sorted((r["_top"], r["_c"]) for r in vb.groupBy("_top").agg(F.count(F.lit(1)).alias("_c")).collect())
-    wanted = spark.range(1).select(*[fn(F.lit(n)).cast("bigint").alias(name) for name, fn in ranks.items()]).first()
-    rows, off = [], 0
-    for b, c in counts:                       # at most ``buckets`` rows
-        for name in ranks:
-            r = wanted[name]
-            if r is not None and off <= r < off + c:
-                rows.append((int(b), name, int(r - off)))
-        off += c
-    if rows:
-        wants = spark.createDataFrame(rows, "_top int, _name string, _rank long")
-        hits = _bucketed(vb.join(wants.select("_top").distinct(), "_top", "left_semi"), ["_top"], wants,
-                         hot_rows, buckets, 1)
-        picked = hits.agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
-    else:
-        picked = spark.range(1).select(*[F.lit(None).cast("double").alias(name) for name in ranks])
-    return combine_rows(totals, picked)
-
-
-def _hot_groups(v: DataFrame, gkeys: list[str], ranks: Mapping[str, RankFn], with_sum: bool,
-                hot_rows: int, buckets: int) -> DataFrame:
-    """Order statistics of the hot groups (same output columns as the small path)."""
-    totals = v.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"),
-                                   *([F.sum("_v").alias("_sum")] if with_sum else []))
-    wanted = F.array(*[F.struct(F.lit(name).alias("_name"), fn(F.col("_n")).cast("bigint").alias("_rank"))
-                       for name, fn in ranks.items()])
-    wants = (totals.select(*gkeys, F.explode(wanted).alias("_w")).select(*gkeys, "_w._name", "_w._rank")
-             .join(totals.select(*gkeys, "_n"), gkeys)
-             .where((F.col("_rank") >= 0) & (F.col("_rank") < F.col("_n"))).drop("_n"))
-    hits = _bucketed(v, gkeys, wants, hot_rows, buckets, 0)
-    picked = hits.groupBy(*gkeys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name)
-                                        for name in ranks])
-    return totals.join(picked, gkeys, "left")
-
-
-def _bucketed(v: DataFrame, gkeys: list[str], wants: DataFrame, hot_rows: int, buckets: int,
-              depth: int) -> DataFrame:
-    """Values at the requested ranks: ``wants`` = (gkeys, _name, _rank) -> (gkeys, _name, _v).
-
-    Value buckets come from the ``percentile_approx`` sketch of each group.  A bucket that
-    holds a requested rank is scanned in order if it has at most ``hot_rows`` DISTINCT values;
-    otherwise it is bucketed again (its own sketch), so every task stays bounded however large
-    the group.  Counting distinct values guarantees progress: a bucket of one repeated value
-    is always small."""
-    b = f"_b{depth}"
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = v.groupBy(*gkeys).agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_bounds"))
-    vb = (v.join(bounds, gkeys)            # one row of bounds per hot group
-          .withColumn(b, F.size(F.filter("_bounds", lambda x: x <= F.col("_v")))).drop("_bounds"))
-    d = vb.groupBy(*gkeys, b, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    per_bucket = d.groupBy(*gkeys, b).agg(F.sum("_c").alias("_cb"), F.count(F.lit(1)).alias("_db"))
-    per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_cb").over(
-        Window.partitionBy(*gkeys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    targets = (per_bucket.join(wants, gkeys)
-               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cb")))
-               .select(*gkeys, b, "_name", (F.col("_rank") - F.col("_off")).alias("_local"), "_db"))
-    # as deep as it must: a bucket with more distinct values than hot_rows is cut again, and every cut
-    # leaves fewer distinct values in each bucket
-    deep, flat = targets.where(F.col("_db") > hot_rows), targets.where(F.col("_db") <= hot_rows)
-
-    scan = d.join(flat.select(*gkeys, b).distinct(), gkeys + [b], "left_semi")
-    scan = scan.withColumn("_cum", F.sum("_c").over(
-        Window.partitionBy(*gkeys, b).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-    hits = (scan.join(flat.drop("_db"), gkeys + [b])
-            .where((F.col("_cum") - F.col("_c") <= F.col("_local")) & (F.col("_local") < F.col("_cum")))
-            .select(*gkeys, "_name", "_v"))
-    if deep.limit(1).count():
-        sub_v = vb.join(deep.select(*gkeys, b).distinct(), gkeys + [b], "left_semi")
-        sub_wants = deep.select(*gkeys, b, "_name", F.col("_local").alias("_rank"))
-        sub = _bucketed(sub_v, gkeys + [b], sub_wants, hot_rows, buckets, depth + 1)
-        hits = hits.unionByName(sub.select(*gkeys, "_name", "_v"))
-    return hits
+    st = rank_table(df, keys, value, ranks, [F.lit(True)])
+    return st.select(*keys, *[F.col("_st")[0][c].alias(c) for c in ("_n", *(["_sum"] if with_sum else []), *ranks)])
 
 
 # --- rank helpers -----------------------------------------------------------
@@ -183,10 +102,9 @@ def median_from_sketch(n: Column, lo: Column, mid: Column) -> Column:
     return F.when(n % 2 == 1, mid).otherwise((lo + mid) / 2)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str | Column, alias: str,
-                 **kw) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str | Column, alias: str) -> DataFrame:
     """Exact median per group (NULLs skipped) — same values as ``F.median``, skew-safe."""
-    st = order_stats(df, keys, value, {"_lo": lambda n: F.floor(n / 2) - 1, "_mid": lambda n: F.floor(n / 2)}, **kw)
+    st = order_stats(df, keys, value, {"_lo": lambda n: F.floor(n / 2) - 1, "_mid": lambda n: F.floor(n / 2)})
     return st.select(*keys, median_from_sketch(F.col("_n"), F.col("_lo"), F.col("_mid")).alias(alias))
 
 
@@ -199,9 +117,9 @@ def quantile_ranks(probs: Sequence[float]) -> dict[str, RankFn]:
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
-                    probs: Sequence[float], names: Sequence[str], **kw) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Linear-interpolation quantiles (pandas ``quantile`` / DuckDB ``quantile_cont``)."""
-    st = order_stats(df, keys, value, quantile_ranks(probs), **kw)
+    st = order_stats(df, keys, value, quantile_ranks(probs))
     cols = []
     for i, (p, name) in enumerate(zip(probs, names)):
         h = (F.col("_n") - 1) * F.lit(p)

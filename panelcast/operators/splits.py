@@ -36,8 +36,8 @@ def fold_bounds(n: int, k: int = N_SPLITS) -> list[tuple[int, int, int]]:
     return [(base + i * s, base + i * s, base + (i + 1) * s) for i in range(k)]
 
 
-def forward_chain_roles(df_pos: DataFrame, n: int, k: int = N_SPLITS, pos: str = "pos") -> DataFrame:
-    """V1: explode every positioned labelled row into its (fold, role) memberships."""
+def forward_chain_members(df_pos: DataFrame, n: int, k: int = N_SPLITS, pos: str = "pos") -> DataFrame:
+    """V1: every positioned labelled row with an array ``members`` of its (fold, role) pairs."""
     s = n // (k + 1)
     if s == 0:
         raise ValueError(f"{n} labelled rows cannot make {k} forward folds")
@@ -45,14 +45,25 @@ def forward_chain_roles(df_pos: DataFrame, n: int, k: int = N_SPLITS, pos: str =
     p = F.col(pos)
     val_fold = F.when(p >= base, F.floor((p - base) / s)).cast("bigint")
     first_train = F.when(p >= base, val_fold + 1).otherwise(F.lit(0)).cast("bigint")
+    none = F.array().cast("array<struct<fold:bigint,role:string>>")
     trains = F.when(first_train <= k - 1,
                     F.transform(F.sequence(first_train, F.lit(k - 1).cast("bigint")),
-                                lambda f: F.struct(f.alias("fold"), F.lit("train").alias("role"))))\
-        .otherwise(F.array().cast("array<struct<fold:bigint,role:string>>"))
-    vals = F.when(val_fold.isNotNull(), F.array(F.struct(val_fold.alias("fold"), F.lit("val").alias("role"))))\
-        .otherwise(F.array().cast("array<struct<fold:bigint,role:string>>"))
-    return (df_pos.withColumn("_m", F.explode(F.concat(trains, vals)))
-            .withColumn("fold", F.col("_m.fold")).withColumn("role", F.col("_m.role")).drop("_m"))
+                                lambda f: F.struct(f.alias("fold"), F.lit("train").alias("role")))).otherwise(none)
+    vals = F.when(val_fold.isNotNull(), F.array(F.struct(val_fold.alias("fold"), F.lit("val").alias("role")))).otherwise(none)
+    return df_pos.withColumn("members", F.concat(trains, vals))
+
+
+def forward_chain_roles(df_pos: DataFrame, n: int, k: int = N_SPLITS, pos: str = "pos") -> DataFrame:
+    """V1: explode every positioned labelled row into its (fold, role) memberships."""
+    out = forward_chain_members(df_pos, n, k, pos)
+    return out.select(*df_pos.columns, F.inline("members"))
+
+
+def with_test_members(members: DataFrame, unlabelled: DataFrame, k: int = N_SPLITS) -> DataFrame:
+    """Unlabelled rows with role ``test`` in every fold, unexploded."""
+    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")),
+                        lambda f: F.struct(f.alias("fold"), F.lit("test").alias("role")))
+    return members.unionByName(unlabelled.withColumn("members", pairs), allowMissingColumns=True)
 
 
 def with_test_rows(fold_rows: DataFrame, unlabelled: DataFrame, k: int = N_SPLITS) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.crossperiod import lag_deviation, period_scale, scale_feature
-from panelcast.operators.encode import encode_all, global_key_stats, global_loo_encode, merge_encodings, per_fold
-from panelcast.operators.splits import forward_chain_roles, full_fit_roles, temporal_positions, with_test_rows
+from panelcast.operators.encode import encode_rows, global_key_stats, global_loo_encode, merge_encodings, per_fold
+from panelcast.operators.splits import (forward_chain_members, forward_chain_roles, full_fit_roles, temporal_positions,
+                                       with_test_members, with_test_rows)
 from panelcast.schema import (GLOBAL_RT_SPECS, LOO_TE_SPECS, SCALE_CLIP, SCALE_DENOM_FLOOR, SMOOTHED_TE_SPECS,
                               PanelSpec)
 
@@ -58,8 +61,9 @@ def fold_scale_feature(rows: DataFrame, scale: DataFrame, spec: PanelSpec, out:
 
 
 def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bool = True,
-              columns: list[str] | None = None) -> DataFrame:
-    """T1 + V1: labelled rows exploded into (fold, train|val), unlabelled rows into (fold, test).
+              columns: list[str] | None = None, explode: bool = True) -> DataFrame:
+    """T1 + V1: labelled rows exploded into (fold, train|val), unlabelled rows into (fold, test);
+    with ``explode=False`` one row each, with the array ``members`` of its (fold, role) pairs.
 
     With ``columns`` only those columns are exploded (up to k+1 copies per row), so the wide
     feature table is not multiplied; ``attach_features`` joins it back once."""
@@ -68,9 +72,9 @@ def fold_rows(features: DataFrame, spec: PanelSpec, k: int = 5, include_test: bo
     lab = features.where(F.col(spec.split) == spec.labelled)
     positioned = temporal_positions(lab, spec)
     n = positioned.count()
-    rows = forward_chain_roles(positioned, n, k)
+    rows = (forward_chain_roles if explode else forward_chain_members)(positioned, n, k)
     if include_test:
-        rows = with_test_rows(rows, features.where(F.col(spec.split) == spec.unlabelled), k)
+        rows = (with_test_rows if explode else with_test_members)(rows, features.where(F.col(spec.split) == spec.unlabelled), k)
     return rows
 
 
@@ -88,19 +92,19 @@ def full_rows(features: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def add_all_encodings(rows: DataFrame, spec: PanelSpec = PanelSpec(), scale: DataFrame | None = None,
                       global_rt: bool = False, labelled: DataFrame | None = None,
-                      fit_on: str = "all") -> DataFrame:
+                      fit_on: str = "all", folds: Sequence[int] | None = None) -> DataFrame:
     """Smoothed RoadType TE, 8 LOO specs (mean + median), gh_count, gh_hr_std, lag96_dev,
-    gh_day49_scale — and optionally the 2 global RoadType x time encodings (W8)."""
+    gh_day49_scale — and optionally the 2 global RoadType x time encodings (W8).  ``rows`` come
+    exploded by fold or, cheaper, with ``members``; the result has one row per (row, fold)."""
     y, rid = spec.target, spec.row_id
-    enc = encode_all(rows, y, rid, loo_specs=keyed(LOO_TE_SPECS, spec), smoothed_specs=keyed(SMOOTHED_TE_SPECS, spec),
-                     count_specs=[((spec.entity,), "gh_count")], std_specs=[((spec.entity, "hour"), "gh_hr_std")])
+    out = encode_rows(rows, y, loo_specs=keyed(LOO_TE_SPECS, spec), smoothed_specs=keyed(SMOOTHED_TE_SPECS, spec),
+                      count_specs=[((spec.entity,), "gh_count")], std_specs=[((spec.entity, "hour"), "gh_hr_std")], folds=folds)
     if global_rt:
         if labelled is None:
             raise ValueError("global_rt needs the labelled rows")
-        parts = [global_loo_encode(rows, global_key_stats(labelled, list(keys), y), list(keys), f"{prefix}_mean",
+        parts = [global_loo_encode(out, global_key_stats(labelled, list(keys), y), list(keys), f"{prefix}_mean",
                                    y, rid) for keys, prefix in keyed(GLOBAL_RT_SPECS, spec)]
-        enc = merge_encodings(enc, parts, rid)
-    out = rows.join(enc, [rid, "fold"], "left")
+        out = merge_encodings(out, parts, rid)
     out = lag_deviation(out)
     if fit_on == "fold":                       # D5 option: scale from each fold's training rows
         return fold_scale_feature(out, fold_scale(rows, spec), spec)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.operators.crossperiod import scale_summary
-from panelcast.operators.encode import (encode_all, global_key_stats, global_loo_encode, lookup_with_row_fallback,
+from panelcast.operators.encode import (encode_rows, global_key_stats, global_loo_encode, lookup_with_row_fallback,
                                         merge_encodings, smoothed_encode)
 from panelcast.operators.splits import fold_report, group_folds, temporal_positions, time_holdout, with_target_share
 from panelcast.plans.catalog import query, rounded, rsql
@@ -125,8 +125,7 @@ def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_loo_target_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 LOO mean/median encodings: labelled rows leave themselves out, unlabelled rows use the maps."""
     rows = full_rows(_feature_rows(spark, sf_dir), SPEC)
-    enc = encode_all(rows, "demand", "Index", loo_specs=LOO_TE_SPECS)
-    out = rows.select("Index", "fold", "role").join(enc, ["Index", "fold"], "left")
+    out = encode_rows(rows, "demand", loo_specs=LOO_TE_SPECS, folds=[-1])
     return rounded(out.select("Index", "fold", "role", *LOO_TE_COLS), LOO_TE_COLS)
 
 
@@ -158,8 +157,8 @@ ENC_COLS = ("te_roadtype",) + LOO_TE_COLS + ("gh_count", "gh_hr_std", "lag96_dev
 def q_fold_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fold-aware encodings for 5 forward-chaining folds in one plan (train/val/test roles)."""
     feats = _feature_rows(spark, sf_dir)
-    rows = fold_rows(feats, SPEC, 5, columns=encoding_inputs(SPEC))
-    out = add_all_encodings(rows, SPEC, scale=cross_period_scale(feats, SPEC))
+    rows = fold_rows(feats, SPEC, 5, columns=encoding_inputs(SPEC), explode=False)
+    out = add_all_encodings(rows, SPEC, scale=cross_period_scale(feats, SPEC), folds=range(5))
     return rounded(out.select("Index", "fold", "role", *ENC_COLS), ENC_COLS)
 
 

@@ -40,7 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, configuring one only if none is set."""
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else (local mode only) a private one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -77,13 +77,16 @@ def drop_tables(spark: SparkSession) -> int:
     return len(paths)
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table", by: str | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     The plan above is cut (later jobs start from the files, and a lost executor re-reads
     them instead of recomputing the lineage).  Parquet is used instead of an RDD checkpoint
-    because it is columnar and compressed; RDD checkpoints serialise every row object."""
+    because it is columnar and compressed; RDD checkpoints serialise every row object.
+    ``by`` gives every value of that column a folder of its own."""
     spark = df.sparkSession
     path = track(spark, f"{checkpoint_dir(spark).rstrip('/')}/panelcast-{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("error").parquet(path, partitionBy=by)
+    if by is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -73,12 +73,12 @@ def test_ratio_clip(spark):
 
 
 def test_hot_key_third_of_rows(spark):
-    """One key holds a third of the rows: the bucketed path gives the brute-force answer."""
+    """One key holds a third of the rows: the result is the brute-force answer."""
     rng = np.random.default_rng(9)
     data = [(i, 0, "train", "hot" if i % 3 == 0 else f"k{i % 7}", float(np.round(rng.random(), 3)))
             for i in range(300)]
     data += [(1000, 0, "test", "hot", None)]
-    r = _enc(_rows(spark, data), hot_rows=20, buckets=4)
+    r = _enc(_rows(spark, data))
     hot = [y for _, _, ro, k, y in data if k == "hot" and ro == "train"]
     assert r[(1000, 0)]["te_med"] == pytest.approx(float(np.median(hot)))
     assert r[(1000, 0)]["te_mean"] == pytest.approx(float(np.mean(hot)))
