@@ -10,8 +10,9 @@
    threshold are candidates.  A region first emits a spanning forest of its candidates, strongest
    pairs first (longest common prefixes and best agreement), never all its pairs.
 4. Candidates are confirmed on the full shingle sets: 100 * intersection >= 85 * union.
-5. Confirmed links give components.  Then every region emits the candidates that lie between
-   different components, all of them; those are confirmed too, and components are final.
+5. Confirmed links give components.  Then regions that touch several components look at every pair
+   between different ones: set sizes and a longer sketch of ``LONG`` minima, bound as in 3, rule pairs
+   out inside the region; the others are confirmed too, and components are final.
 
 A deeper prefix alone loses pairs that met at ``FIRST`` minima and part further down.  So the classes of
 regions that are too large at ``FIRST`` (dense classes) also meet by an exact filter in step 5: sets at the
@@ -45,6 +46,8 @@ from panelcast.llm.shingles import MinHash, mixed, shingle_set
 
 PERCENT, TREES, FIRST, REGION, GROWTH = 85, 24, 5, 256, 1.6
 SIZE = TREES * FIRST
+#: One-byte minima that decide, within a region, which pairs of different components are worth a look at the full sets.
+LONG = 1024
 #: Counters of the approximate shingle counts that order the shingles of dense classes; every third order's pieces are enough to connect copies.
 SLOTS, EVERY = 1 << 20, 3
 
@@ -117,7 +120,7 @@ def cut(over: DataFrame) -> DataFrame:
     return pieces.select("region", "cid").union(pieces.select("region", F.col("lead").alias("cid"))).distinct()
 
 
-def rare_first(cids: DataFrame, sets: DataFrame) -> DataFrame:
+def rare_first(cids: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, cid): the shingles of every class in ``cids`` of which two sets at the threshold share one."""
     own = sets.join(cids, "cid").select("cid", "shingles")
 
@@ -141,7 +144,7 @@ def rare_first(cids: DataFrame, sets: DataFrame) -> DataFrame:
         keys, names = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for cid, x in zip(batch.column(0).to_pylist(), batch.column(1)):
             s = np.frombuffer(x.as_buffer(), np.uint64)
-            n = len(s) - -(-PERCENT * len(s) // 100) + 1
+            n = len(s) - -(-percent * len(s) // 100) + 1
             keys.append(s[np.lexsort((s, shared.value[slots(s)]))[:n]])
             names.append(np.full(n, cid))
         return {"key": np.concatenate(keys).view(np.int64), "cid": np.concatenate(names)}
@@ -149,9 +152,9 @@ def rare_first(cids: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(own, first, "key long, cid long", slice_rows=50)
 
 
-def dense_regions(cids: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+def dense_regions(cids: DataFrame, sets: DataFrame, comps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(region, cid) in which all pairs of dense classes meet that may reach the threshold and lie in different components."""
-    rows = rare_first(cids, sets).join(comps, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
+    rows = rare_first(cids, sets, percent).join(comps, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
     rows = saved(rows, "rare")
     parts = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
     mixed_keys = parts.groupBy("key").agg(F.sum("c").alias("n"), F.count("*").alias("comps"), F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("top")).where("comps > 1")
@@ -168,15 +171,17 @@ def dense_regions(cids: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFra
     return small.union(big.select(F.explode(F.concat(to_others, to_main)).alias("region"), "cid"))
 
 
-def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, least: float, sizes: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Candidate pairs of one region.  Without components a maximum spanning forest of the agreement of
-    the signatures; with components all candidates between different ones."""
+    the signatures; with components all candidates between different ones whose set sizes allow a link."""
     n, out = len(cids), []
     if comps is not None:
         for i in range(n - 1):
-            near = (sigs[i + 1:] == sigs[i]).mean(axis=1) >= least
-            near &= (comps[i + 1:] != comps[i]) & (cids[i + 1:] != cids[i])
-            out += [(int(cids[i]), int(cids[i + 1 + j])) for j in np.flatnonzero(near)]
+            near = (comps[i + 1:] != comps[i]) & (cids[i + 1:] != cids[i])
+            near &= 100 * np.minimum(sizes[i + 1:], sizes[i]) >= percent * np.maximum(sizes[i + 1:], sizes[i])
+            at = i + 1 + np.flatnonzero(near)
+            at = at[(sigs[at] == sigs[i]).mean(axis=1) >= least]
+            out += [(int(cids[i]), int(c)) for c in cids[at]]
         return out
     best, link, left = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
     at = 0
@@ -191,26 +196,46 @@ def forest_pairs(cids: np.ndarray, sigs: np.ndarray, comps: np.ndarray | None, l
     return out
 
 
-def candidates(members: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Distinct candidate pairs (a < b) of all regions.  Signatures are fetched only for regions that can
-    still add something: with components, those that touch more than one."""
-    rows = members.withColumn("component", F.lit(0).cast("long"))
-    if comps is not None:
-        rows = members.join(comps, F.col("cid") == F.col("node"), "left").select("region", "cid", F.coalesce("component", "cid").alias("component"))
-        apart = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
-        rows = saved(rows.join(apart, "region"), "apart")
-    rows = rows.join(classes.select("cid", "sig"), "cid").select("region", "cid", "sig", "component")
-    share = PERCENT / 100
-    least = share - 4 * (share * (1 - share) / SIZE) ** 0.5
-    with_comps = comps is not None
+def bound(percent: int, size: int) -> float:
+    """Least agreement of ``size`` minima that a pair at the threshold may show: four standard errors below it."""
+    share = percent / 100
+    return share - 4 * (share * (1 - share) / size) ** 0.5
+
+
+def strongest(members: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Distinct candidate pairs (a < b) of a spanning forest of every region."""
+    rows = members.join(classes.select("cid", "sig"), "cid").select("region", "cid", "sig")
+    return _region_pairs(rows, ">u4", bound(percent, SIZE), percent)
+
+
+def between(members: DataFrame, sets: DataFrame, comps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Distinct candidate pairs (a < b) of different components.
+
+    Only regions that touch more than one component count.  Their classes get a second, longer sketch from
+    the full sets; pairs that it or the set sizes rule out never leave their region, so what goes on is
+    close to the true links, not to all pairs of a dense region."""
+    rows = members.join(comps, F.col("cid") == F.col("node"), "left").select("region", "cid", F.coalesce("component", "cid").alias("component"))
+    apart = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
+    rows = saved(rows.join(apart, "region"), "apart")
+
+    def sketch(batch: pa.RecordBatch) -> dict:
+        sign, got = MinHash(LONG, seed=2), [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+        return {"cid": batch.column(0), "n": [len(s) for s in got], "sig": [(sign(s) & np.uint32(255)).astype(np.uint8).tobytes() for s in got]}
 
+    long = saved(map_arrow(sets.join(rows.select("cid").distinct(), "cid").select("cid", "shingles"), sketch, "cid long, n long, sig binary", slice_rows=100).dropDuplicates(["cid"]), "long")
+    # unequal minima share their byte once in 256: the bound is only lower for that
+    return _region_pairs(rows.join(long, "cid").select("region", "cid", "sig", "component", "n"), "u1", bound(percent, LONG), percent)
+
+
+def _region_pairs(rows: DataFrame, kind: str, least: float, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches):
             cids = np.array(group["cid"], np.int64)
             if len(cids) < 2:
                 continue
-            sigs = np.frombuffer(b"".join(group["sig"]), ">u4" if len(group["sig"][0]) == 4 * SIZE else "u1").reshape(len(cids), SIZE)
-            pairs = forest_pairs(cids, sigs, np.array(group["component"]) if with_comps else None, least)
+            sigs = np.frombuffer(b"".join(group["sig"]), kind).reshape(len(cids), -1)
+            comps, sizes = (np.array(group[c]) if c in group else None for c in ("component", "n"))
+            pairs = forest_pairs(cids, sigs, comps, least, sizes, percent)
             if pairs:
                 a, b = np.array(pairs, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -240,14 +265,6 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str = "region") -> Ite
         yield held
 
 
-def low_bytes(classes: DataFrame) -> DataFrame:
-    """(cid, sig) with one byte of each minimum: equal minima have equal bytes, at a quarter of the size."""
-    def run(batch: pa.RecordBatch) -> dict:
-        return {"cid": batch.column(0), "sig": [s[3::4] for s in batch.column(1).to_pylist()]}
-
-    return map_arrow(classes.select("cid", "sig"), run, "cid long, sig binary")
-
-
 def full_sets(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(cid, shingles): the full shingle set of every class in a region; texts are read once for all rounds."""
     ids = members.select("cid").distinct().join(classes.select("cid", "h1"), "cid")
@@ -261,7 +278,7 @@ def full_sets(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFr
     return map_arrow(texts.select("cid", "text", "h1"), sets, "cid long, h1 long, own long, shingles binary").where("own = h1").select("cid", "shingles")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold."""
     first = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
     both = first.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -271,15 +288,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for x, y in zip(batch.column(2), batch.column(3)):
             p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             n = len(np.intersect1d(p, q, assume_unique=True))
-            good.append(100 * n >= PERCENT * (len(p) + len(q) - n))
+            good.append(100 * n >= percent * (len(p) + len(q) - n))
         keep = pa.array(good, pa.bool_())
         return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
     return map_arrow(both.select("a", "b", "sa", "sb"), check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, th (xxhash64 of the text), n_shingles, component_id and kept per row of ``docs``."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, th (xxhash64 of the text), n_shingles, component_id and kept per row of ``docs``; sets link at
+    a similarity of ``percent`` or more (FIRST minima in TREES orders find 0.9999 of the pairs at 80)."""
     rows = saved(signed(docs), "signed")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = saved(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
@@ -288,16 +306,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if over is not None:
         cids = saved(over.select("cid").distinct(), "dense")
         first, used = members.union(cut(over.where(F.col("tree") % EVERY == 0))), members.select("cid").union(cids)
-    pairs = saved(candidates(members if first is None else first, classes, None), "pairs")
+    pairs = saved(strongest(members if first is None else first, classes, percent), "pairs")
     sets = saved(full_sets(members if used is None else used, docs, classes), "sets")
-    links = saved(confirmed(pairs, sets), "links")
+    links = saved(confirmed(pairs, sets, percent), "links")
     comps = components(links)
-    more = candidates(members, classes, comps)
-    if over is not None:
-        more = more.union(candidates(dense_regions(cids, sets, comps), low_bytes(classes), comps)).distinct()
+    more = between(members if over is None else members.union(dense_regions(cids, sets, comps, percent)), sets, comps, percent)
     more = saved(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        again = saved(confirmed(more, sets), "links")
+        again = saved(confirmed(more, sets, percent), "links")
         if not again.isEmpty():
             comps = components(links.union(again))
     named = classes.select("h1", "h2", F.col("n_shingles").alias("n_"), "cid", "copies").join(comps, F.col("cid") == F.col("node"), "left")
@@ -309,10 +325,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "th", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document of each component: its smallest doc_id.
     Repeated rows (same doc_id and text) leave one row."""
-    found = saved(near_duplicates(docs.select("doc_id", "text")), "found")
+    found = saved(near_duplicates(docs.select("doc_id", "text"), percent), "found")
     names = ("doc_id", "th")
     drop = found.where(~F.col("kept")).select(*names).distinct()
     # the columns travel as one struct, so their names cannot clash with the keys

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SPAN, GRAM = 400, 150
+SPAN = 400
 _BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -50,11 +50,17 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1:width - 1 + n])
 
 
-def anchors(raw: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def gram_length(span: int) -> int:
+    """Bytes of an anchor's gram: 3/8 of a window, so that a text has about one anchor per 5/16 of a window."""
+    return max(1, 3 * span // 8)
+
+
+def anchors(raw: bytes, span: int = SPAN) -> tuple[np.ndarray, ...]:
     """(gram hash, anchor, first window, last window) of the segments of a text; texts shorter than
     ``span`` have none.  Long texts are read in blocks; a run cut by a block's end makes two segments."""
     if len(raw) < span:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
+    gram = gram_length(span)
     whole, width, out = np.frombuffer(raw, np.uint8), span - gram + 1, []
     for lo in range(0, len(raw) - span + 1, _BLOCK):
         part = whole[lo:lo + _BLOCK + span - 1]

@@ -36,6 +36,7 @@ from panelcast.llm.common import map_arrow, saved, table
 from panelcast.llm.minhash_forest import sorted_groups
 
 SPAN, HEAVY = repeats.SPAN, 20_000
+RUNS = "runs array<struct<lo:int,hi:int>>"
 _SIGNED = 1 << 63
 
 
@@ -94,14 +95,15 @@ def segment_texts(kept: DataFrame, docs: DataFrame, span: int) -> DataFrame:
 
 
 def by_suffix_array(rows: DataFrame, span: int) -> DataFrame:
-    """(gram, seg, lo, hi): runs of repeated windows of every segment."""
+    """(gram, seg, runs): the runs (lo, hi) of repeated windows of every segment that has some."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for group in sorted_groups(batches, "gram"):
             unique = {s: (t, o, n) for s, t, o, n in zip(group["seg"], group["text"], group["off"], group["n"])}
             segs = list(unique)
             for s, runs in zip(segs, repeats.repeated_windows([unique[s] for s in segs], span)):
-                held += [(group["gram"][0], s, lo, hi) for lo, hi in runs]
+                if runs:
+                    held.append((group["gram"][0], s, [{"lo": lo, "hi": hi} for lo, hi in runs]))
             if len(held) > 20_000:
                 yield out(held)
                 held = []
@@ -109,10 +111,11 @@ def by_suffix_array(rows: DataFrame, span: int) -> DataFrame:
             yield out(held)
 
     def out(held: list[tuple]) -> pa.RecordBatch:
-        g, s, lo, hi = zip(*held)
-        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(s, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["gram", "seg", "lo", "hi"])
+        g, s, runs = zip(*held)
+        kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(s, pa.int64()), pa.array(runs, kind)], names=["gram", "seg", "runs"])
 
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, seg long, lo int, hi int")
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, f"gram long, seg long, {RUNS}")
 
 
 def by_halving(rows: DataFrame, span: int) -> DataFrame:
@@ -152,13 +155,15 @@ def by_halving(rows: DataFrame, span: int) -> DataFrame:
         size //= 2
         if ranges.isEmpty():
             break
-    return found
+    # the ranges of one segment are bounded by its length
+    return found.groupBy("gram", "seg").agg(F.collect_list(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("runs"))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, th, spans): byte ranges [lo, hi) of each text that has repeated windows, unsorted."""
     rows = saved(segments(docs, span), "segments")
-    often = rows.groupBy("gram").agg(F.count("*").alias("copies")).where("copies > 1").select("gram")
+    # copies of a segment are counted first, so a gram in very many copies of one text is not one task's work
+    often = rows.groupBy("gram", "seg").agg(F.count("*").alias("c")).groupBy("gram").agg(F.sum("c").alias("copies")).where("copies > 1").select("gram")
     kept = saved(rows.join(often, "gram"), "kept")
     texts = saved(segment_texts(kept, docs, span), "texts")
     sizes = texts.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > heavy).select("gram")
@@ -169,8 +174,9 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> Dat
         runs = by_suffix_array(texts.join(large, "gram", "left_anti"), span).union(by_halving(texts.join(large, "gram"), span))
     runs = saved(runs, "runs").withColumnsRenamed({"gram": "g_", "seg": "s_"})
     back = kept.join(runs, (F.col("gram") == F.col("g_")) & (F.col("seg") == F.col("s_")))
-    ranges = back.select("doc_id", "th", F.struct((F.col("place") + F.col("lo")).alias("lo"), (F.col("place") + F.col("hi") + span).alias("hi")).alias("s"))
-    return ranges.groupBy("doc_id", "th").agg(F.collect_list("s").alias("spans"))
+    # one row per occurrence, whatever the number of its runs
+    placed = F.transform("runs", lambda r: F.struct((F.col("place") + r["lo"]).alias("lo"), (F.col("place") + r["hi"] + span).alias("hi")))
+    return back.select("doc_id", "th", placed.alias("s")).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("s")).alias("spans"))
 
 
 def cover(spans: list[dict] | None) -> list[tuple[int, int]]:

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tok, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tok, self.limit = Tokenizer.from_file(path), limit
         self.tok.no_truncation()
         self.tok.no_padding()
         probe = self.tok.encode(" a \n b\tc \x0b\x0c\r ", add_special_tokens=False).ids
@@ -64,20 +65,48 @@ class ChunkEncoder:
             raise ValueError(f"{path}: its tokens hold white space, parts can't be encoded alone")
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
-        new: set = set()
-        new = new.union(*split).difference(self.known)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew: part -> its place in ``pool``, as (start, number of ids)."""
+        self.known: dict[str, int] = {}
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool, self.used = np.zeros(4096, self.dtype), 0
+
+    def learn(self, parts: list[str]) -> None:
+        ids = [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+        first, sizes = len(self.known), np.array([len(x) for x in ids], np.int64)
+        self.known.update(zip(parts, range(first, first + len(parts))))
+        self.start, self.size = _room(self.start, first + len(parts)), _room(self.size, first + len(parts))
+        self.start[first:first + len(parts)] = self.used + np.cumsum(sizes) - sizes
+        self.size[first:first + len(parts)] = sizes
+        self.pool = _room(self.pool, self.used + int(sizes.sum()))
+        self.pool[self.used:self.used + int(sizes.sum())] = np.concatenate(ids) if ids else []
+        self.used += int(sizes.sum())
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of every text.  Texts are cut into parts and the parts numbered by Arrow; Python sees every
+        different part once, and numpy gathers the ids."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        parts = split.flatten().dictionary_encode()
+        words = parts.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = new.union(*split)
+            self.forget()
+            new = words
         if new:
-            parts = list(new)
-            got = self.tok.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-            kind = self.dtype
-            self.known.update((p, np.array(e.ids, kind).tobytes()) for p, e in zip(parts, got))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, s)), self.dtype) for s in split]
+            self.learn(new)
+        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[parts.indices.to_numpy()]
+        start, size = self.start[place], self.size[place]
+        ends = np.cumsum(size)
+        flat = self.pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return np.split(flat, np.r_[0, ends][cuts[1:-1]]) if len(cuts) > 1 else []
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x`` with space for n values at least."""
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -177,7 +206,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 encode = encode or _encoder(tokenizer)
                 writer = writer or ShardWriter(folder, shard, encode.dtype, seq_len, batch_seqs)
                 end = np.array([] if end_id is None else [end_id], encode.dtype)
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text"))):
                     writer.add(doc_id, np.concatenate([ids, end]))
         if writer:
             ids, index, n_tokens, n_docs = writer.close()

@@ -26,7 +26,7 @@ def prose(rng, n):
 
 
 # --- near duplicates ---------------------------------------------------------
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = {i: frozenset(shingle_set(t).tolist()) for i, t in rows}
     parent = {i: i for i in sets}
 
@@ -39,12 +39,33 @@ def brute_components(rows):
     for k, a in enumerate(ids):
         for b in ids[k + 1:]:
             n = len(sets[a] & sets[b])
-            if n and 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: root(i) for i in ids}
 
 
+def test_a_dense_region_rules_pairs_out_inside():
+    """Classes of one template, all below the threshold: none of their pairs leaves the region; true links do."""
+    rng, base = random.Random(3), prose(random.Random(4), 400).split()
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for p in rng.sample(range(400), 7):
+            w[p] = prose(rng, 1)
+        texts.append(" ".join(w))
+    texts += [t.replace(" ", "  ", 1) + " q" for t in texts[:5]]
+    sets = [shingle_set(t) for t in texts]
+    links = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (len(sets[i]) + len(sets[j]) - n)}
+    share = [len(np.intersect1d(sets[0], s)) / len(np.union1d(sets[0], s)) for s in sets[1:60]]
+    assert 0.6 < np.mean(share) < 0.78 and links == {(i, 60 + i) for i in range(5)}
+    sign = minhash_forest.MinHash(minhash_forest.LONG, seed=2)
+    sigs = np.array([sign(s) & np.uint32(255) for s in sets])
+    ids = np.arange(len(sets))
+    found = minhash_forest.forest_pairs(ids, sigs, ids, minhash_forest.bound(85, minhash_forest.LONG), np.array([len(s) for s in sets]))
+    assert links <= set(found) and len(found) < 2 * len(sets)
+
+
 def near_rows(seed=1, copies=60):
     rng, rows = random.Random(seed), []
     for g in range(12):
@@ -167,7 +188,7 @@ def test_anchors_of_long_texts_are_cut_in_blocks(monkeypatch):
     _, a, lo2, hi2 = repeats.anchors(raw)
     for x, y in ((lo, hi), (lo2, hi2)):
         assert x[0] == 0 and y[-1] == len(raw) - repeats.SPAN and (x[1:] == y[:-1] + 1).all()
-    assert (a >= lo2).all() and (a + repeats.GRAM <= lo2 + repeats.SPAN).all()
+    assert (a >= lo2).all() and (a + repeats.gram_length(repeats.SPAN) <= lo2 + repeats.SPAN).all()
 
 
 def test_interval_tree_of_a_suffix_array():
@@ -241,12 +262,12 @@ def test_pipeline_stages(spark):
     good = [i for i in before.doc_id if labels.get(i) == 1]
     assert np.mean([i in set(after.doc_id) for i in good]) > 0.97
     before, after = seen["MinHash near-dedup"]
-    parts = brute_components(list(zip(before.doc_id, before.text)))
+    parts = brute_components(list(zip(before.doc_id, before.text)), corpus_pipeline.SIMILAR)
     assert sorted(after.doc_id) == sorted(i for i, c in parts.items() if i == c)
     before, after = seen["suffix-array dedup"]
     texts = dict(zip(after.doc_id, after.text))
     assert len(before) == len(after) and (after.n_chars == after.text.str.len()).all()
-    for i, t, cover in zip(before.doc_id, before.text, brute_cover(list(before.text), 400)):
+    for i, t, cover in zip(before.doc_id, before.text, brute_cover(list(before.text), corpus_pipeline.PASSAGE)):
         if not cover.any():
             assert texts[i] == t
         else:
