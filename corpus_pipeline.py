@@ -14,6 +14,11 @@ from panelcast.llm import bpe_codec, decontaminate, minhash_forest, rule_classif
 from panelcast.llm.common import saved, table
 
 
+#: Near duplicates share this percentage of their 5-word shingles; a repeated passage has this many bytes
+#: (a passage of 50 words has 155 or more in the given tables).
+SIMILAR, PASSAGE = 80, 160
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble takes for bad go."""
     return rule_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -21,12 +26,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    return minhash_forest.keep_one(docs)
+    return minhash_forest.keep_one(docs, SIMILAR)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that occur more than once are cut out of the texts."""
-    out = suffix_dedup.deduplicated(docs)
+    """Passages of ``PASSAGE`` bytes or more that occur more than once are cut out of the texts."""
+    out = suffix_dedup.deduplicated(docs, PASSAGE)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
