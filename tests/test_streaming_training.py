@@ -84,6 +84,32 @@ def test_categorical_metadata(spark):
     assert meta["attrs"]["nominal"][0]["num_vals"] == 3 and meta["num_attrs"] == 2
 
 
+def test_best_round_by_patience():
+    from panelcast.plans.training import best_round
+    assert best_round([5, 4, 3, 3, 3], 2) == (3, True)
+    assert best_round([5, 4, 3, 3, 2], 3) == (5, False)
+    assert best_round([5, 4, 6, 6, 1], 2) == (2, True)            # the late low is never seen
+    assert best_round([1.0], 5) == (1, False)
+
+
+def test_patience_cuts_an_overfitted_ensemble(spark):
+    """Noise can't be learnt: the search ends early, the kept ensemble is the best prefix of the whole one."""
+    import random
+    from panelcast.plans.training import GBTParams, assemble, best_round, fit_with_patience
+    rng = random.Random(1)
+    rows = [(i % 2, float(rng.random()), float(rng.random())) for i in range(600)]
+    df = assemble(spark.createDataFrame([(v, x, (x > 0.5) + 2 * (e - 0.5)) for v, x, e in rows], "val int, x double, label double"), ["x"])
+    train, val = df.where("val = 0").cache(), df.where("val = 1").cache()
+    params = GBTParams(max_iter=40, patience=5, step_size=0.3, max_depth=5, min_instances_per_node=1, feature_subset="all", subsampling_rate=1.0)
+    model, losses = fit_with_patience(train, val, params)
+    best, ended = best_round(losses, 5)
+    assert ended and model.getNumTrees == best < 40
+    whole = params.estimator(rounds=best + 5).fit(train)
+    assert losses == pytest.approx(whole.evaluateEachIteration(val, "squared")[:len(losses)])
+    mse = model.transform(val).select(F.avg((F.col("label") - F.col("prediction")) ** 2)).first()[0]
+    assert mse == pytest.approx(losses[best - 1]) and mse == pytest.approx(min(losses))
+
+
 def test_training_learns_a_real_signal(spark):
     """With a target driven by hour and weather, the per-fold GBT must explain most variance."""
     from conftest import SF
@@ -94,7 +120,7 @@ def test_training_learns_a_real_signal(spark):
     hour = F.split("timestamp", ":").getItem(0).cast("double")
     signal = hour / 30.0 + F.when(F.col("Weather") == "Rain", 0.2).otherwise(0.0)
     p = p.withColumn("demand", F.when(F.col("split") == "train", signal))
-    out = train_job(p, fx.EVENTS_SPEC, GBTParams(max_iter=15, max_depth=4, min_instances_per_node=5,
+    out = train_job(p, fx.EVENTS_SPEC, GBTParams(max_iter=15, step_size=0.1, max_depth=4, min_instances_per_node=5,
                                                  feature_subset="all", subsampling_rate=1.0), ablation=False)
     r2s = [r["r2"] for r in out.full.fold_r2.collect()]
     assert len(r2s) == 5 and min(r2s) > 0.5, r2s
