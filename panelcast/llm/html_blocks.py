@@ -8,11 +8,14 @@ import re
 # Element kinds of HTML.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "script|style|noscript|template|title|textarea|svg|iframe|select|object|canvas"
+RAW = "script|style|title|textarea"
+HIDDEN = "noscript|template|svg|iframe|select|object|canvas"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    # raw text runs to its closing tag or the page's end; other hidden elements to their closing tag, if they have one
+    rf"|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({HIDDEN})(?=[\s/>])(?:[^>]*/>|[^>]*>(?:.*?</\2\s*>)?)"
     r"|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>"
     r"|<[!?][^>]*+>", re.S | re.I)
@@ -28,7 +31,6 @@ def blocks(page: str | None) -> list[tuple[Path, str, float]]:
     far as their parents are."""
     out: list[tuple[Path, str, float]] = []
     stack: list[tuple] = []
-    path: Path = ()
     held: list[str] = []
     linked = in_link = 0
 
@@ -37,7 +39,7 @@ def blocks(page: str | None) -> list[tuple[Path, str, float]]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((path, text, min(1.0, linked / len(text))))
+                out.append((tuple(stack), text, min(1.0, linked / len(text))))
             held.clear()
         linked = 0
 
@@ -49,10 +51,10 @@ def blocks(page: str | None) -> list[tuple[Path, str, float]]:
             if in_link:
                 linked += len(text)
         at = m.end()
-        tag = (m[3] or m[6] or "").lower()
+        tag = (m[4] or m[7] or "").lower()
         if not tag:
             continue
-        closing, rest = bool(m[2] or m[5]), m[4] or m[7] or ""
+        closing, rest = bool(m[3] or m[6]), m[5] or m[8] or ""
         if tag in INLINE:
             if tag == "a":
                 in_link = not closing
@@ -71,7 +73,6 @@ def blocks(page: str | None) -> list[tuple[Path, str, float]]:
                 stack.pop()
             words = tuple(w for n in _NAMES.findall(rest) for w in _WORD.findall("".join(n).lower()))
             stack.append((tag, words))
-        path = tuple(stack)
     if at < len(page):
         held.append(page[at:])
     flush()

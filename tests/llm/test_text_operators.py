@@ -160,3 +160,18 @@ def test_pages_edge_cases(spark):
     out = html_lstm.extract(rows, net).collect()
     assert len(out) == 4 and [r["text"] for r in out if r["page_id"] != 3] == ["", ""]
     assert html_lstm.extract(rows.limit(0), net).count() == 0 and html_lstm.fit(rows.limit(0)).w["b"][0] == 0
+
+
+@pytest.mark.parametrize("page", ["<p>a</p><svg/><p>rest</p>", "<p>a</p><select-menu>x</select-menu><p>rest</p>", "<p>a</p><object data=x><p>rest</p>",
+                                  "<p>a</p><template><p>no</p></template><title-bar>x</title-bar><p>rest</p>", "<p>a</p><p>rest</p><script>no"])
+def test_hidden_elements_end_where_they_end(page):
+    from panelcast.llm.html_blocks import blocks
+    texts = [t for _, t, _ in blocks(page)]
+    assert texts[0] == "a" and texts[-1] == "rest" and "no" not in texts
+
+
+def test_deep_nesting_is_read_in_time():
+    import time
+    from panelcast.llm.html_blocks import blocks
+    start = time.time()
+    assert blocks("<div>" * 40_000 + "end")[0][1] == "end" and time.time() - start < 1
