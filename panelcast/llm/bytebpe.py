@@ -169,7 +169,7 @@ class Encoder:
     beyond that it starts anew, which costs time only.
     """
 
-    def __init__(self, path: str, value, limit: int = 600_000):
+    def __init__(self, path: str, value, limit: int = 250_000):
         """``value(list of pre-token bytes) -> list`` gives what is kept for each pre-token;
         values of consecutive pre-tokens are added with ``+``."""
         self.bpe, self.value, self.limit = load(path), value, limit
