@@ -30,6 +30,20 @@ def sampled(steps: int, seed: int = 3) -> np.ndarray:
     return np.array([[rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(TABLES)] for _ in range(WALKS)])
 
 
+def chained(words: np.ndarray, start: int | np.ndarray) -> np.ndarray:
+    """One hash of the rows of ``words``, from first to last."""
+    out = np.full(words.shape[1:], start, np.uint64) if np.isscalar(start) else start
+    for w in words:
+        out = mixed(out * np.uint64(_ODD) + w)
+    return out
+
+
+def bucket_keys(embedded: np.ndarray, coords: np.ndarray, walk: int) -> np.ndarray:
+    """Bit sampling: a key per table of the walk and window, (TABLES, windows), from its sampled words."""
+    tables = np.arange(walk * len(coords), (walk + 1) * len(coords), dtype=np.uint64)
+    return chained(embedded[coords.T], np.repeat(tables[:, None], embedded.shape[1], axis=1))
+
+
 def edit_distance(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int]:
     """Least word edit distance of ``item`` to a prefix of ``text`` and the length of that prefix."""
     text = text[:len(item) + most]

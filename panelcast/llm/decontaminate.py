@@ -10,14 +10,17 @@ every word of every document.
    distance.  Bit sampling (here: word sampling) puts windows and items into LSH tables;
    ``WALKS * TABLES`` repetitions reach the target recall (see tests: above 0.95 at the largest
    distance).  Windows at several neighbouring starts meet the same item, which raises it further.
+   The tables of a length class are one sorted array of bucket keys, so a window costs one lookup per table,
+   however many items there are.
 3. Candidates are verified by the exact edit distance.
 
+Items under ``min_words`` words have no edit budget: they are found wherever their words stand, exactly.
+
 The benchmark is the query set: it is cut into blocks of at most ``block_bytes`` of text, and each block is
 broadcast and held against all documents.  Documents are not shuffled.
 
-Nulls and edge cases: a null or empty text holds nothing; items that are null or shorter than
-``min_words`` words are too short to prove anything and match nothing; items with equal texts are found
-each; a null item_id is carried as it is; repeated document rows give repeated results; empty tables
+Nulls and edge cases: a null or empty text holds nothing; items that are null or without words match
+nothing; items with equal texts are found each; of equally distant places the first is given; a null item_id is carried as it is; repeated document rows give repeated results; empty tables
 give an empty result; only doc_id, text and item_id, text are read.
 """
 
@@ -36,6 +39,7 @@ from panelcast.llm.common import map_arrow, table
 from panelcast.llm.shingles import mixed, word_hashes
 
 EDITS, MIN_WORDS, RATIO, BLOCK_BYTES, STEPS_PER_WORD = 0.2, 5, 1.12, 4 << 20, 1.6
+BLOCK_WINDOWS = 1 << 14        # windows looked up at once
 SCHEMA = "doc_id long, item_id long, distance long, item_words long, start_word long, n_words long"
 
 
@@ -53,52 +57,81 @@ class Known:
 
     def __init__(self, values: np.ndarray):
         self.values = np.sort(values)
-        self.table = np.zeros(1 << 20, bool)
-        self.table[(values >> np.uint64(44)).astype(np.int64)] = True
+        bits = min(26, max(20, len(values).bit_length() + 3))
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[(values >> self.shift).astype(np.int64)] = True
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        out = self.table[(x >> np.uint64(44)).astype(np.int64)]
+        out = self.table[(x >> self.shift).astype(np.int64)]
         at = np.flatnonzero(out)
         place = np.minimum(np.searchsorted(self.values, x[at]), len(self.values) - 1)
         out[at] = self.values[place] == x[at]
         return out
 
 
+class Buckets:
+    """Hash buckets as one sorted array of keys, with the number of the entry behind each."""
+
+    def __init__(self, keys: np.ndarray, entries: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.entries = keys[order], entries[order]
+        self.known = Known(self.keys)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``keys``, entry) of everything that shares a bucket."""
+        at = np.flatnonzero(self.known(keys))
+        first = np.searchsorted(self.keys, keys[at])
+        n = np.searchsorted(self.keys, keys[at], side="right") - first
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(at, n), self.entries[np.repeat(first, n) + within]
+
+
 @dataclass
 class LengthClass:
-    """Items of similar length with their LSH tables."""
-    items: list                # (item_id, word hashes)
+    """Different items of similar length with their LSH tables."""
+    items: list                # word hashes
     span: int                  # words a match may cover
     need: int                  # known word pairs that every match holds
     steps: int
     coords: np.ndarray = field(default=None)
-    values: np.ndarray = field(default=None)   # (walk, table, sample, item)
+    buckets: Buckets = field(default=None)
 
 
 class Matcher:
     """All items of a block, ready to be held against documents."""
 
     def __init__(self, items: list[tuple], edits: float = EDITS, min_words: int = MIN_WORDS):
-        hashed = [(i, word_hashes(words_of(t))) for i, t in items]
-        hashed = sorted((x for x in hashed if len(x[1]) >= min_words), key=lambda x: len(x[1]))
+        self.ids: dict[bytes, list] = {}           # items of equal words share one entry
+        for i, t in items:
+            if words := words_of(t):
+                self.ids.setdefault(word_hashes(words).tobytes(), []).append(i)
+        hashed = sorted((np.frombuffer(w, np.uint64) for w in self.ids), key=len)
+        self.short: dict[int, Buckets] = {}
+        self.brief = [w for w in hashed if len(w) < min_words]
+        for n in sorted({len(w) for w in self.brief}):
+            at = [k for k, w in enumerate(self.brief) if len(w) == n]
+            self.short[n] = Buckets(cgk.chained(np.stack([self.brief[k] for k in at], axis=1), 0), np.array(at))
+        hashed = [w for w in hashed if len(w) >= min_words]
         self.edits = edits
-        self.pairs = Known(np.unique(np.concatenate([word_pairs(w) for _, w in hashed])) if hashed else np.zeros(1, np.uint64))
+        self.pairs = Known(np.unique(np.concatenate([word_pairs(w) for w in hashed])) if hashed else np.zeros(1, np.uint64))
         self.classes: list[LengthClass] = []
-        for i, w in hashed:
+        for w in hashed:
             n = len(w)
-            if not self.classes or n > RATIO * len(self.classes[-1].items[0][1]):
+            if not self.classes or n > RATIO * len(self.classes[-1].items[0]):
                 self.classes.append(LengthClass([], 0, n, 0))
             c = self.classes[-1]
-            c.items.append((i, w))
+            c.items.append(w)
             c.span = n + self.most(n)
             c.need = min(c.need, n - 1 - 2 * self.most(n))
         for c in self.classes:
-            c.steps = max(1, int(STEPS_PER_WORD * len(c.items[0][1])))
+            c.steps = max(1, int(STEPS_PER_WORD * len(c.items[0])))
             c.coords = cgk.sampled(c.steps)
-            flat, starts = self._padded([w for _, w in c.items], c.steps)
-            c.values = np.stack([cgk.embed(flat, starts, c.steps, k)[c.coords[k]] for k in range(cgk.WALKS)])
+            flat, starts = self._padded(c.items, c.steps)
+            keys = np.stack([cgk.bucket_keys(cgk.embed(flat, starts, c.steps, k), c.coords[k], k) for k in range(cgk.WALKS)])
+            c.buckets = Buckets(keys.ravel(), np.tile(np.arange(len(c.items)), keys.size // len(c.items)))
         self.span = max((c.span for c in self.classes), default=0)
-        self.pad = max((c.steps for c in self.classes), default=0) + self.span + 1
+        self.pad = max((c.steps for c in self.classes), default=0) + self.span + min_words + 1
 
     def most(self, n: int) -> int:
         return int(self.edits * n)
@@ -115,10 +148,52 @@ class Matcher:
     def __call__(self, texts: list[str | None]) -> list[tuple[int, int | None, int, int, int, int]]:
         """(text number, item_id, distance, item_words, start_word, n_words): the best match of every pair."""
         words = [word_hashes(w) if (w := words_of(t)) else np.zeros(0, np.uint64) for t in texts]
-        if not self.classes or not any(map(len, words)):
+        if not self.ids or not any(map(len, words)):
             return []
         flat, starts = self._padded(words, self.pad)
         ends = starts + np.array([len(w) for w in words])
+        best: dict[tuple[int, bytes], tuple] = {}
+
+        def offer(at: int, item: np.ndarray, d: int, n: int):
+            doc = int(np.searchsorted(starts, at, side="right")) - 1
+            key, start = (doc, item.tobytes()), at - int(starts[doc])
+            if key not in best or (d, start) < best[key][:2]:
+                best[key] = (d, start, len(item), n)
+
+        for n, buckets in self.short.items():
+            here = np.flatnonzero(flat[:len(flat) - n + 1])
+            for at, k in self._first(*buckets(cgk.chained(flat[here[:, None] + np.arange(n)].T, 0)), here, starts):
+                if np.array_equal(flat[at:at + n], self.brief[k]):
+                    offer(at, self.brief[k], 0, n)
+        for c, here in self._windows(flat):
+            hits = [np.zeros(0, np.int64)]
+            for k in range(cgk.WALKS):
+                keys = cgk.bucket_keys(cgk.embed(flat, here, c.steps, k), c.coords[k], k)
+                for row in keys:
+                    w, i = c.buckets(row)
+                    if len(w):
+                        hits.append(np.unique(w * len(c.items) + i))
+            for hit in np.unique(np.concatenate(hits)).tolist():
+                w, i = divmod(hit, len(c.items))
+                at, item = int(here[w]), c.items[i]
+                doc = int(np.searchsorted(starts, at, side="right")) - 1
+                limit = self.most(len(item))
+                d, n = cgk.edit_distance(item, flat[at:ends[doc]], limit)
+                if d <= limit:
+                    offer(at, item, d, n)
+        return [(doc, i, d, size, start, n) for (doc, item), (d, start, size, n) in best.items() for i in self.ids[item]]
+
+    @staticmethod
+    def _first(place: np.ndarray, entry: np.ndarray, here: np.ndarray, starts: np.ndarray):
+        """The first place of every entry in every text."""
+        doc = np.searchsorted(starts, here[place], side="right") - 1
+        _, at = np.unique(np.stack([doc, entry]), axis=1, return_index=True) if len(place) else (None, [])
+        return [(int(here[place[k]]), int(entry[k])) for k in at]
+
+    def _windows(self, flat: np.ndarray):
+        """Blocks of (length class, window starts) that pass the count filter."""
+        if not self.classes:
+            return
         size = len(flat)
         sums = np.r_[0, np.cumsum(self.pairs(word_pairs(flat))), 0]
         sums[-1] = sums[-2]
@@ -126,28 +201,10 @@ class Matcher:
         # pairs that begin in the first span - 1 words of the window
         count = sums[np.minimum(np.arange(size) + self.span - 1, size)] - sums[:-1]
         windows = np.flatnonzero((flat != 0) & (count >= least))
-        best: dict[tuple[int, int], tuple] = {}
         for c in self.classes:
             here = windows[sums[np.minimum(windows + c.span - 1, size)] - sums[windows] >= c.need]
-            if not len(here):
-                continue
-            hit = np.zeros((len(c.items), len(here)), bool)
-            for k in range(cgk.WALKS):
-                rows = cgk.embed(flat, here, c.steps, k)[c.coords[k]]    # (table, sample, window)
-                for t in range(cgk.TABLES):
-                    hit |= (rows[t][:, None, :] == c.values[k, t][:, :, None]).all(axis=0)
-            for i, w in zip(*np.nonzero(hit)):
-                item_id, item = c.items[i]
-                at = int(here[w])
-                doc = int(np.searchsorted(starts, at, side="right")) - 1
-                limit = self.most(len(item))
-                d, n = cgk.edit_distance(item, flat[at:ends[doc]], limit)
-                if d <= limit:
-                    key = (doc, id(item))
-                    found = (doc, item_id, d, len(item), at - int(starts[doc]), n)
-                    if key not in best or (d, found[4]) < (best[key][2], best[key][4]):
-                        best[key] = found
-        return list(best.values())
+            for at in range(0, len(here), BLOCK_WINDOWS):
+                yield c, here[at:at + BLOCK_WINDOWS]
 
 
 _READY: dict[int, Matcher] = {}
