@@ -14,13 +14,14 @@ def embed(words: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.nd
     """CGK embedding of the windows that begin at ``starts``: row t holds the word under the walk at step
     t.  At every step the walk copies its word and moves on if a random bit of (step, word) is 1, so
     strings that differ by insertions and deletions fall into step again.  ``words`` must extend
-    ``steps`` beyond the last start."""
+    ``steps`` beyond the last start.  The bit is the highest of the word's hash times an odd number of the step."""
     out = np.empty((steps, len(starts)), np.uint64)
-    at = starts.copy()
+    odd = mixed(np.arange(steps, dtype=np.uint64) + np.uint64((walk * 100_003 + 1) * (_ODD >> 1) % (1 << 64))) | np.uint64(1)
+    at = starts.astype(np.int64)
     for t in range(steps):
         w = words[at]
         out[t] = w
-        at += (mixed(w + np.uint64(_ODD * (walk * 100_003 + t + 1) % (1 << 64))) >> np.uint64(40)).astype(np.int64) & 1
+        at += (w * odd[t] >> np.uint64(63)).view(np.int64)
     return out
 
 
@@ -34,8 +35,8 @@ def chained(words: np.ndarray, start: int | np.ndarray) -> np.ndarray:
     """One hash of the rows of ``words``, from first to last."""
     out = np.full(words.shape[1:], start, np.uint64) if np.isscalar(start) else start
     for w in words:
-        out = mixed(out * np.uint64(_ODD) + w)
-    return out
+        out = out * np.uint64(_ODD) + w
+    return mixed(out)
 
 
 def bucket_keys(embedded: np.ndarray, coords: np.ndarray, walk: int) -> np.ndarray:
