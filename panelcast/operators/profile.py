@@ -31,6 +31,25 @@ def shape_by_split(df: DataFrame, split: str, dropped: dict[str, Sequence[str]]
     return out.withColumn("columns", expr.cast("bigint"))
 
 
+def shape_of_files(files: dict[str, DataFrame], split: str = "split") -> DataFrame:
+    """Rows and columns of every input file, read from the file itself."""
+    out = None
+    for name, df in files.items():
+        one = df.agg(F.lit(name).alias(split), F.count(F.lit(1)).cast("bigint").alias("rows"),
+                     F.lit(len(df.columns)).cast("bigint").alias("columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def dtypes_of_files(files: dict[str, DataFrame]) -> DataFrame:
+    """A35 + U4: every column of any file with its type class and, per file, whether the file has it (``in_<name>``)."""
+    out = None
+    for name, df in files.items():
+        one = dtypes_table(df).select("column", "type_class", F.lit(name).alias("_file"))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("column", "type_class").agg(*[F.bool_or(F.col("_file") == name).alias(f"in_{name}") for name in files])
+
+
 TYPE_CLASSES = {"string": "string", "bigint": "integer", "int": "integer", "smallint": "integer",
                 "tinyint": "integer", "double": "double", "float": "double", "boolean": "boolean"}
 

@@ -12,6 +12,7 @@ from panelcast.plans.catalog import query, rounded, rsql
 from panelcast.plans.queries import _lag_sql, _panel_sql
 from panelcast.schema import LAG_COLS
 from panelcast.sources import fixtures as fx
+from panelcast.sources.io import scratch_dir, write_panel
 
 PANEL_COLS = ("Index", "geohash", "day", "timestamp", "demand", "RoadType", "NumberofLanes", "LargeVehicles",
               "Landmarks", "Temperature", "Weather")
@@ -21,13 +22,18 @@ def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_time_features(fx.cell_panel(spark, sf_dir))
 
 
+def _files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The panel written as a labelled and an unlabelled file and opened again, schemas from the files."""
+    paths = write_panel(fx.cell_panel(spark, sf_dir), scratch_dir(spark, "profile"), fmt="parquet")
+    return dict(zip(("train", "test"), map(spark.read.parquet, paths)))
+
+
 @query("profile_shape", "A35", _panel_sql() + """
 SELECT split, CAST(count(*) AS BIGINT) AS rows, CAST(CASE WHEN split = 'test' THEN 10 ELSE 11 END AS BIGINT) AS columns
 FROM panel GROUP BY split""")
 def q_profile_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and columns per split (the unlabelled file has no target column)."""
-    p = fx.cell_panel(spark, sf_dir)
-    return pf.shape_by_split(p, "split", {"test": ["demand"]})
+    """Rows and columns of both files of the panel, read from the files."""
+    return pf.shape_of_files(_files(spark, sf_dir))
 
 
 @query("profile_dtypes", "A35 U4", fx.with_sql(fx.CELL_PANEL_SQL) + """
@@ -37,13 +43,8 @@ SELECT column_name AS "column",
        TRUE AS in_train, column_name <> 'demand' AS in_test
 FROM (DESCRIBE (SELECT * EXCLUDE (split) FROM panel))""")
 def q_profile_dtypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column type classes of the panel and the columns only one split's file has (schema metadata)."""
-    p = fx.cell_panel(spark, sf_dir).drop("split")
-    d = pf.dtypes_table(p).select("column", "type_class")
-    sets = pf.column_sets(spark, p.columns, [c for c in p.columns if c != "demand"])
-    return (d.join(sets, "column", "left")      # columns in both files have no row in ``sets``
-            .select("column", "type_class", F.coalesce("in_train", F.lit(True)).alias("in_train"),
-                    F.coalesce("in_test", F.lit(True)).alias("in_test")))
+    """Column type classes of both files of the panel and which file has a column, read from the files."""
+    return pf.dtypes_of_files(_files(spark, sf_dir))
 
 
 @query("null_counts", "A14", _panel_sql() + "\nSELECT * FROM (" + "\nUNION ALL\n".join(

@@ -84,6 +84,68 @@ def test_categorical_metadata(spark):
     assert meta["attrs"]["nominal"][0]["num_vals"] == 3 and meta["num_attrs"] == 2
 
 
+def test_mean_ordered_codes(spark):
+    """Few codes keep a bin each in the order of their means; many share bins without breaking that order; other
+    folds, NULL and unseen codes are apart."""
+    from panelcast.plans.training import mean_ordered_codes, with_bins
+    rows = [(0, "train", float(c), float(n), (c * 7 % 5) + (i - 1) * 0.1, (n * 37) % 500) for n in range(500) for c, i in [(n % 5, n % 3)]]
+    rows = [(f, r, c, n, float(m)) for f, r, c, n, _, m in rows]
+    rows += [(1, "train", 0.0, 1.0, 1.0), (0, "val", 99.0, None, 1e9), (0, "val", 3.0, 7.0, 1e9), (1, "val", 3.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "fold int, role string, c double, n double, y double")
+    codes = mean_ordered_codes(df, ["c", "n"], "y", 16)
+    got = {(r["fold"], r["feature"], r["code"]): r["bin"] for r in codes.collect()}
+    means = {}
+    for f, r, c, n, y in rows:
+        if r == "train":
+            means.setdefault((f, "c", c), []).append(y)
+            means.setdefault((f, "n", n), []).append(y)
+    means = {k: sum(v) / len(v) for k, v in means.items()}
+    assert set(got) == set(means) and min(got.values()) == 1 and max(got.values()) <= 15
+    for name in "cn":
+        mine = sorted((means[k], got[k]) for k in got if k[:2] == (0, name))
+        assert [b for _, b in mine] == sorted(b for _, b in mine)
+        assert len({b for _, b in mine}) == (5 if name == "c" else 15)
+    back = {(r["fold"], r["y"], r["c"], r["n"]) for r in with_bins(df.where("role = 'val'"), ["c", "n"], codes).collect()}
+    assert back == {(0, 1e9, 0.0, 0.0), (0, 1e9, got[0, "c", 3], got[0, "n", 7]), (1, 0.0, 0.0, 1.0)}
+
+
+def test_nominal_features_beat_numeric_codes(spark):
+    """A target that jumps from code to code: 300 codes as one nominal feature against the same codes as numbers."""
+    import random
+    from panelcast.plans.training import GBTParams, run_cv, score
+    rng = random.Random(5)
+    level = [rng.random() for _ in range(300)]
+    rows = [(i, 0, "train" if i % 4 else "val", float(c), level[c]) for i in range(6000) for c in [rng.randrange(300)]]
+    df = spark.createDataFrame(rows, "Index long, fold int, role string, c double, y double")
+    params = GBTParams(max_iter=6, patience=6, step_size=0.3, max_depth=3, max_bins=32, min_instances_per_node=1, subsampling_rate=1.0, feature_subset="all")
+    res = {cats: run_cv(df, ["c"], "y", "Index", params, categorical=cats) for cats in ((), ("c",))}
+    r2 = {cats: r.fold_r2.first()["r2"] for cats, r in res.items()}
+    assert r2["c",] > 0.9 and r2["c",] > r2[()] + 0.3
+    told = res["c",]
+    again = score(told.models, df.where("role = 'val'").drop("fold"), ["c"], "Index", codes=told.codes, categorical=["c"])
+    assert {r["Index"]: r["pred"] for r in again.collect()} == {r["Index"]: r["pred"] for r in told.predictions.collect()}
+
+
+def test_sweep_draws_and_shares_vectors(spark):
+    import random
+    from panelcast.plans.training import GBTParams, run_cv, run_sweep, sample_trials, sweep_scores
+    trials = sample_trials(40)
+    assert trials == sample_trials(40) and len({tuple(t.items()) for t in trials}) == 40 and trials != sample_trials(40, seed=1)
+    assert len(sample_trials(40, {"max_depth": (1, 2), "step_size": (0.1,)})) == 2
+    rng = random.Random(8)
+    rows = [(i, f, "train" if i % 3 else "val", x, x * x + f) for i in range(600) for x in [float(rng.randrange(40))] for f in (0, 1)]
+    df = spark.createDataFrame(rows, "Index long, fold int, role string, x double, y double")
+    base = GBTParams(max_iter=4, patience=2, min_instances_per_node=5, feature_subset="all", subsampling_rate=1.0)
+    grid = [{"max_depth": 1}, {"max_depth": 3, "step_size": 0.3}]
+    got = run_sweep(df, ["x"], "y", grid, base, folds=[0, 1])
+    table = {(r["trial"], r["fold"]): (r["r2"], r["iters"]) for r in got.collect()}
+    own = run_cv(df, ["x"], "y", "Index", GBTParams(**{**base.__dict__, **grid[1]})).fold_r2.collect()
+    assert {(1, r["fold"]): (pytest.approx(r["r2"]), r["trees"]) for r in own} == {k: v for k, v in table.items() if k[0] == 1}
+    scores = {r["trial"]: r["score"] for r in sweep_scores(got, 10, 1, margin=0, min_last=1).collect()}
+    assert scores[1] == pytest.approx((table[1, 0][0] + table[1, 1][0]) / 2) and scores[0] != scores[1]
+    assert {r["score"] for r in sweep_scores(got, 4, 1, margin=0, min_last=1).collect()} <= {0.0}
+
+
 def test_best_round_by_patience():
     from panelcast.plans.training import best_round
     assert best_round([5, 4, 3, 3, 3], 2) == (3, True)
