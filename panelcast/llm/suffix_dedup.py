@@ -1,7 +1,8 @@
 """Operator 6: repeated passages by an enhanced suffix array on content-defined anchors.
 
 1. Every text gives its segments (see ``repeats``): about one per 126 bytes.  Only the hash of the anchor's
-   gram, the places and a hash of the segment travel.
+   gram, the places and a hash of the segment travel, one row per text and different segment, so a line
+   that a text repeats thousands of times costs one row.
 2. Grams that occur once are dropped.  Equal segments of the others are folded into one with a count,
    before any text moves, so groups of copies cost one row.
 3. The text of one copy of each segment is fetched.  The segments of a gram meet, their suffixes from
@@ -51,32 +52,36 @@ def named(docs: DataFrame, *more: F.Column) -> DataFrame:
 
 
 def segments(docs: DataFrame, span: int) -> DataFrame:
-    """(doc_id, th, gram, seg, place, off, more): a segment starts at ``place``, its anchor ``off`` bytes
-    later, and it has ``more`` + 1 windows; seg is a hash of its bytes and ``off``."""
+    """(doc_id, th, gram, seg, places, off, more): a segment starts at each of ``places``, its anchor ``off``
+    bytes later, and it has ``more`` + 1 windows; seg is a hash of its bytes and ``off``."""
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("row", "gram", "seg", "place", "off", "more")}
+        out: dict[str, list] = {k: [] for k in ("row", "gram", "seg", "off", "more", "place", "count")}
         for row, text in enumerate(batch.column(2).to_pylist()):
             raw = text.encode()
             gram, a, lo, hi = repeats.anchors(raw, span)
             if not len(a):
                 continue
             off = a - lo
-            out["row"].append(np.full(len(a), row))
-            out["gram"].append(gram)
-            out["seg"].append(np.array([xxhash.xxh3_64_intdigest(raw[x:y + span], seed=o) for x, y, o in zip(lo.tolist(), hi.tolist(), off.tolist())], np.uint64).view(np.int64))
-            out["place"].append(lo)
-            out["off"].append(off)
-            out["more"].append(hi - lo)
+            seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y + span], seed=o) for x, y, o in zip(lo.tolist(), hi.tolist(), off.tolist())], np.uint64).view(np.int64)
+            order = np.lexsort((lo, seg, gram))
+            gram, seg = gram[order], seg[order]
+            first = np.r_[0, np.flatnonzero((np.diff(gram) != 0) | (np.diff(seg) != 0)) + 1]
+            out["row"].append(np.full(len(first), row))
+            out["place"].append(lo[order])
+            out["count"].append(np.diff(np.r_[first, len(order)]))
+            for k, v in (("gram", gram), ("seg", seg), ("off", off[order]), ("more", (hi - lo)[order])):
+                out[k].append(v[first])
         flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
-        rows = pa.array(flat.pop("row"))
-        return {"doc_id": batch.column(0).take(rows), "th": batch.column(1).take(rows)} | flat
+        rows, ends = pa.array(flat.pop("row")), np.r_[0, np.cumsum(flat.pop("count"))]
+        places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.pop("place"), pa.int64()))
+        return {"doc_id": batch.column(0).take(rows), "th": batch.column(1).take(rows), "places": places} | flat
 
-    return map_arrow(docs, run, "doc_id long, th long, gram long, seg long, place long, off int, more int", slice_rows=250)
+    return map_arrow(docs, run, "doc_id long, th long, gram long, seg long, places array<long>, off int, more int", slice_rows=250)
 
 
 def segment_texts(kept: DataFrame, docs: DataFrame, span: int) -> DataFrame:
     """(gram, seg, n, off, text) of one copy of every segment in ``kept``."""
-    one = kept.groupBy("gram", "seg").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "place", "off", "more")).alias("at"))
+    one = kept.groupBy("gram", "seg").agg(F.sum(F.size("places")).alias("n"), F.min(F.struct("doc_id", "th", F.col("places")[0].alias("place"), "off", "more")).alias("at"))
     wanted = one.groupBy("at.doc_id", "at.th").agg(F.collect_list(F.struct("gram", "seg", "n", "at.place", "at.off", "at.more")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"doc_id": "d_", "th": "t_"})
     both = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["d_"]) & (docs["th"] == wanted["t_"]))
@@ -163,7 +168,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> Dat
     """(doc_id, th, spans): byte ranges [lo, hi) of each text that has repeated windows, unsorted."""
     rows = saved(segments(docs, span), "segments")
     # copies of a segment are counted first, so a gram in very many copies of one text is not one task's work
-    often = rows.groupBy("gram", "seg").agg(F.count("*").alias("c")).groupBy("gram").agg(F.sum("c").alias("copies")).where("copies > 1").select("gram")
+    often = rows.groupBy("gram", "seg").agg(F.sum(F.size("places")).alias("c")).groupBy("gram").agg(F.sum("c").alias("copies")).where("copies > 1").select("gram")
     kept = saved(rows.join(often, "gram"), "kept")
     texts = saved(segment_texts(kept, docs, span), "texts")
     sizes = texts.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > heavy).select("gram")
@@ -174,8 +179,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> Dat
         runs = by_suffix_array(texts.join(large, "gram", "left_anti"), span).union(by_halving(texts.join(large, "gram"), span))
     runs = saved(runs, "runs").withColumnsRenamed({"gram": "g_", "seg": "s_"})
     back = kept.join(runs, (F.col("gram") == F.col("g_")) & (F.col("seg") == F.col("s_")))
-    # one row per occurrence, whatever the number of its runs
-    placed = F.transform("runs", lambda r: F.struct((F.col("place") + r["lo"]).alias("lo"), (F.col("place") + r["hi"] + span).alias("hi")))
+    # one row per text and segment, whatever the number of its places and runs
+    placed = F.flatten(F.transform("places", lambda p: F.transform("runs", lambda r: F.struct((p + r["lo"]).alias("lo"), (p + r["hi"] + span).alias("hi")))))
     return back.select("doc_id", "th", placed.alias("s")).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("s")).alias("spans"))
 
 

@@ -171,6 +171,13 @@ def test_spans_equal_brute_force(spark, heavy):
     assert len(out) == len(texts) and sum(w.any() for w in want) > 15
 
 
+def test_a_repeated_line_is_one_row_of_a_text(spark):
+    line = prose(random.Random(8), 90) + "\n"
+    rows = suffix_dedup.segments(suffix_dedup.named(frame(spark, [(1, line * 300), (2, line * 300)])), 400).collect()
+    assert len(rows) < 40 and max(len(r["places"]) for r in rows) > 290
+    assert len({(r["doc_id"], r["gram"], r["seg"]) for r in rows}) == len(rows) and all(r["places"] == sorted(r["places"]) for r in rows)
+
+
 def test_cutting_keeps_whole_characters_and_columns(spark):
     text = "日本語テキスト" * 80
     rows = frame(spark, [(1, "é" + text), (2, "ñ" + text), (3, None), (None, "short"), (5, "é" + text), (5, "é" + text)])
