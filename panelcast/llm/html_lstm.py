@@ -5,7 +5,8 @@ its path, hashed words of its text, and a few sizes.  A bidirectional LSTM in nu
 sequence, so every block is judged with the document around it, and says whether it is main text.
 
 Training needs no hand-made labels: on a bounded sample of pages (``sample`` pages, picked by a hash
-of page_id, at most ``MAX_BLOCKS`` blocks of each) blocks inside article-like elements are taken as text
+of page_id; of a longer page ``MAX_BLOCKS`` consecutive blocks from a hashed place, of a longer block
+``BLOCK_CHARS`` characters from one, so ends of pages teach as beginnings do) blocks inside article-like elements are taken as text
 and blocks in menus, headers, footers, asides, adverts, notices, forms and comments as not; blocks that
 no rule names don't count.  Synthetic furniture is inserted and article elements are renamed, and the
 path of some pages is hidden, so that words, sizes and context carry weight too.  The network
@@ -19,6 +20,7 @@ only page_id, url and html are read.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterable
@@ -33,7 +35,7 @@ from panelcast.llm.html_blocks import blocks
 
 PATH_DIMS, TAG_DIMS, WORD_DIMS, SIZES, HIDDEN = 96, 32, 32, 6, 24
 DIMS = PATH_DIMS + TAG_DIMS + WORD_DIMS + SIZES
-SAMPLE, MAX_BLOCKS, EPOCHS, BATCH, RATE = 240, 160, 6, 16, 0.01
+SAMPLE, MAX_BLOCKS, BLOCK_CHARS, EPOCHS, BATCH, RATE = 240, 160, 4096, 6, 16, 0.01
 
 # Names of page furniture and of main text in tags, classes, ids and roles.
 FURNITURE = frozenset("""nav menu navbar navigation header masthead topbar footer aside sidebar ad ads advert advertisement sponsor sponsored banner promo
@@ -208,10 +210,10 @@ def varied(page: list[tuple], labels: list[float], others: list[str], rng: np.ra
     return out, labels
 
 
-def train(pages: list[str | None], epochs: int = EPOCHS, seed: int = 11) -> BiLstm:
-    """Fit a labeller to sample pages by their weak labels (Adam, mean log loss)."""
+def train(pages: list[list[tuple]], epochs: int = EPOCHS, seed: int = 11) -> BiLstm:
+    """Fit a labeller to the blocks of sample pages by their weak labels (Adam, mean log loss)."""
     rng = np.random.default_rng(seed)
-    seen = [(b, [weak_label(p) for p, _, _ in b]) for b in (blocks(p)[:MAX_BLOCKS] for p in pages) if b]
+    seen = [(b, [weak_label(p) for p, _, _ in b]) for b in pages if b]
     seen = [s for s in seen if not np.isnan(s[1]).all()]
     net = BiLstm.fresh(seed)
     if not seen:
@@ -244,12 +246,27 @@ def train(pages: list[str | None], epochs: int = EPOCHS, seed: int = 11) -> BiLs
     return net
 
 
+def window(page: list[tuple], place: int, most: int = MAX_BLOCKS, chars: int = BLOCK_CHARS) -> list[tuple]:
+    """``most`` consecutive blocks of a page and ``chars`` consecutive characters of a block, wherever ``place`` falls."""
+    def cut(x, size: int):
+        at = place % max(1, len(x) - size + 1)
+        return x[at:at + size]
+
+    return [(path, cut(text, chars), linked) for path, text, linked in cut(page, most)]
+
+
 def fit(pages: DataFrame, sample: int = SAMPLE) -> BiLstm:
-    """Train on about ``sample`` pages, picked by a hash of page_id; at most 200,000 characters of each."""
+    """Train on about ``sample`` pages, picked by a hash of page_id.  Pages are read whole where they lie;
+    what travels of each is one window of blocks."""
     n, mod = pages.count(), 1 << 30
-    rows = pages.where(crc_rest("page_id", mod, "lstm") < min(mod, int(mod * sample / max(1, n)) + 1))
-    got = rows.select("page_id", F.substring("html", 1, 200_000).alias("html")).sort("page_id").limit(2 * sample).collect()
-    return train([r["html"] for r in got])
+    drawn = pages.select(crc_rest("page_id", mod, "lstm").alias("at_"), crc_rest("page_id", mod, "place").alias("place_"), F.xxhash64("html").alias("h_"), "html")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        got = [pickle.dumps(window(blocks(p), at)) for at, p in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())]
+        return {"at_": batch.column(0), "h_": batch.column(2), "blocks": got}
+
+    rows = map_arrow(drawn.where(F.col("at_") < min(mod, int(mod * sample / max(1, n)) + 1)), run, "at_ long, h_ long, blocks binary")
+    return train([pickle.loads(r["blocks"]) for r in rows.sort("at_", "h_").limit(2 * sample).collect()])
 
 
 def extract(pages: DataFrame, net: BiLstm, threshold: float = 0.5) -> DataFrame:
