@@ -6,8 +6,8 @@ the language with the smallest total is chosen.  Texts whose two best totals lie
 rejected (``rejected``): their ``lang`` is ``und`` while ``lang_pred`` still names the smallest.
 
 The dictionaries are fitted on a bounded, documented sample: ``dict_bytes`` of normalised text per
-language, from rows picked by a hash of doc_id, at most ``sample_chars`` characters of each.  Everything
-else reads whole texts.
+language, from rows picked by a hash of doc_id and taken in the order of that hash, at most ``sample_chars``
+characters of each from a hashed place anywhere in the text.  Everything else reads whole texts.
 
 Nulls and edge cases: a null text or one without a letter is ``und`` with score 0, and rejected; rows
 without lang teach nothing; if no row teaches, every row is ``und``.  Ties between totals go to the
@@ -38,7 +38,8 @@ def normalised(text: str) -> bytes:
 def fit_dictionaries(train: DataFrame, dict_bytes: int = DICT_BYTES, sample_chars: int = SAMPLE_CHARS) -> list[tuple[str, bytes]]:
     """Per language (most rows first) about ``dict_bytes`` of sample text."""
     rows = train.where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    part = F.substring("text", 1, sample_chars)
+    spare = F.greatest(F.length("text") - sample_chars, F.lit(0))
+    part = F.substr("text", (crc_rest("doc_id", 1 << 30, "place") % (spare + 1) + 1).cast("int"), F.lit(sample_chars))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length(part)).alias("chars")).collect()  # a row per language
     mod = 1 << 30
     share = {r["lang"]: min(mod, math.ceil(mod * 1.5 * dict_bytes / max(1, r["chars"]))) for r in sizes}
@@ -46,7 +47,8 @@ def fit_dictionaries(train: DataFrame, dict_bytes: int = DICT_BYTES, sample_char
         return []
     pick = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in share.items()])
     got: dict[str, list[bytes]] = {k: [] for k in share}
-    for r in rows.where(crc_rest("doc_id", mod, "dict") < pick).select("lang", "doc_id", part.alias("part")).sort("doc_id", "part").toLocalIterator():
+    drawn = rows.withColumn("at_", crc_rest("doc_id", mod, "dict")).where(F.col("at_") < pick)
+    for r in drawn.select("lang", "at_", "doc_id", part.alias("part")).sort("at_", "doc_id", "part").toLocalIterator():
         got[r["lang"]].append(normalised(r["part"]))
     order = sorted(sizes, key=lambda r: (-r["n"], r["lang"]))
     return [(r["lang"], b" ".join(got[r["lang"]])[:dict_bytes]) for r in order]

@@ -114,6 +114,21 @@ def test_language_edge_cases(spark):
     assert language_id.identify(rows.limit(0), dictionaries).count() == 0 and language_id.fit_dictionaries(train.limit(0)) == []
 
 
+def test_dictionaries_read_ends_of_long_texts(spark):
+    rows = frame(spark, [(i, "a" * 40_000 + " " + "omega " * 7000, "xx", None) for i in range(40)])
+    ((lang, raw),) = language_id.fit_dictionaries(rows.select("doc_id", "text", "lang"))
+    assert lang == "xx" and 0 < raw.count(b"omega") < raw.count(b"a") and len(raw) <= language_id.DICT_BYTES
+
+
+def test_training_windows_lie_anywhere(spark):
+    page = [((), f"{i} " + "w" * 5000, 0.0) for i in range(400)]
+    starts = {int(html_lstm.window([(p, t[:4], x) for p, t, x in page], at)[0][1].split()[0].rstrip("w")) for at in range(0, 1 << 30, 9_999_991)}
+    assert min(starts) < 40 and max(starts) > 200 and len(html_lstm.window(page, 3)) == html_lstm.MAX_BLOCKS
+    assert all(len(t) == html_lstm.BLOCK_CHARS for _, t, _ in html_lstm.window(page, 12345)) and html_lstm.window([], 5) == []
+    few = [((), "short", 0.5)]
+    assert html_lstm.window(few, 77) == few
+
+
 def test_blocks():
     page = "<html><head><title>t</title></head><body><p>a&amp;b  c<p>d <b>e</b>f<br>g<script>var x='</p>';</script><!-- no --><ul><li>x<li><a href='>'>y</a></ul> tail &lt;1"
     assert [b[1] for b in html_blocks.blocks(page)] == ["a&b c", "d ef", "g", "x", "y", "tail <1"]
