@@ -5,7 +5,7 @@ partition by partition without a shuffle; each task merges the pre-tokens that i
 yet, all together, by the index of ``bytebpe.merge_all``.
 
 Nulls: a null text is encoded as an empty one (no ids, decoded ``""``).  Other columns, nulls in
-them included, pass through untouched.  Repeated rows give equal rows; an empty table gives an
+them included, pass through untouched; one whose name is that of a result gets ``in_`` before its name.  Repeated rows give equal rows; an empty table gives an
 empty table.  Whole texts of any length are encoded; the memory needed is that of one text
 and of the bounded table of parts.
 """
@@ -73,8 +73,17 @@ def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | N
 
 
 def _mapped(df: DataFrame, col: str, keep: list[str] | None, new: dict[str, str], fn) -> DataFrame:
-    """Run ``fn`` over one column; the kept columns travel as one struct, so names cannot clash."""
-    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
+    """Run ``fn`` over one column; the kept columns travel as one struct, so names cannot clash on the way.
+    At the end a kept column with the name of a new one is called ``in_`` and its name."""
+    kept = list(df.columns if keep is None else keep)
+    taken, names = {n.lower() for n in new}, []
+    for c in sorted(kept, key=lambda c: c.lower() in taken):
+        name = c
+        while name.lower() in taken:
+            name = f"in_{name}"
+        taken.add(name.lower())
+        names.append((c, name))
+    final = dict(names)
     rest = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_none"))
     narrow = df.select(rest.alias("kept_"), F.col(f"`{col}`").alias("value_"))
     from pyspark.sql.types import StructType
@@ -88,7 +97,7 @@ def _mapped(df: DataFrame, col: str, keep: list[str] | None, new: dict[str, str]
         return {"kept_": batch.column(0)} | got
 
     out = map_arrow(narrow, run, schema)
-    return out.select(*[F.col("kept_").getField(c).alias(c) for c in kept], *new)
+    return out.select(*[F.col("kept_").getField(c).alias(final[c]) for c in kept], *new)
 
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

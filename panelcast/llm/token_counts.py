@@ -6,13 +6,12 @@ only the rest is merged.
 
 Nulls: a null text counts as empty (0 bytes, 0 tokens, not over the limit).  Rows are counted one
 by one: repeated rows give equal rows, an empty table an empty one, other columns pass through
-when named in ``keep``.  Whole texts are counted, without truncation.
+(``keep`` names some of them); one whose name is that of a result gets ``in_`` before its name.  Whole texts are counted, without truncation.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelcast.llm import bytebpe
 from panelcast.llm.bpe_codec import _mapped, vocabulary_path
@@ -55,10 +54,10 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 512,
     proven = spark.sparkContext.broadcast(frozenset(w.encode() for w in prove_whole_tokens(path)))
 
     def run(texts: list[str | None]) -> dict:
-        return {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": count_texts(texts, path, proven.value)}
+        counts = count_texts(texts, path, proven.value)
+        return {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": counts, "over_limit": [n > limit for n in counts]}
 
-    out = _mapped(df, text, keep, {"n_bytes": "bigint", "n_tokens": "bigint"}, run)
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    return _mapped(df, text, keep, {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}, run)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,16 @@ def test_round_trip_and_counts(spark):
     assert bpe_codec.round_trip(df.limit(0), BYTE).count() == 0 and token_counts.count_tokens(df.limit(0), BYTE).count() == 0
 
 
+def test_columns_named_like_results_are_kept(spark):
+    df = spark.createDataFrame([(7, "a b", 1, "x", True, None)], "n_tokens long, text string, ids_sha256 int, kept_ string, Over_limit boolean, in_n_tokens int")
+    row = bpe_codec.round_trip(df, BYTE).first().asDict()
+    assert (row["in_in_n_tokens"], row["in_n_tokens"], row["in_ids_sha256"], row["kept_"], row["text"]) == (7, None, 1, "x", "a b") and row["n_tokens"] == len(library(BYTE, "a b"))
+    row = token_counts.count_tokens(df, BYTE, limit=1).first().asDict()
+    assert row["in_Over_limit"] is True and row["over_limit"] is True and row["in_in_n_tokens"] == 7
+    texts = spark.createDataFrame([("p", b"")], "text string, ids binary")
+    assert bpe_codec.decode(texts, BYTE).first().asDict() == {"in_text": "p", "ids": b"", "text": ""}
+
+
 def test_proven_strings_are_single_tokens():
     proven = token_counts.prove_whole_tokens(BYTE)
     assert len(proven) > 40_000 and " the" in proven and "a b" not in proven
