@@ -13,17 +13,19 @@ after ``t``.
 Physical plan.  A plain ``Window.partitionBy(entity)`` puts an entire entity into one task;
 with one entity holding a third of the data that task never finishes.  Instead:
 
-1. position of each row inside its entity: counts per (entity, time bucket) -> running offsets
-   over that small table -> ``row_number`` inside (entity, time bucket).  With unique
-   (entity, t) on the step grid a time bucket holds at most ``bucket_slots`` rows.
+1. the rows are dealt by range of (entity, t) and written sorted: a hot entity spreads over
+   partitions, many small ones share one.  The partitions' row counts give every row its
+   position in the whole order.
 2. rows are cut into chunks of ``chunk_rows`` positions; the last ``H`` rows of each chunk
    (``H`` = largest lag / window) are copied into the next chunk as a read-only halo.
 3. ONE window partitioned by (entity, chunk) and ordered by ``t`` evaluates every lag (RANGE
    frame at an exact offset) and every rolling statistic (ROWS frame) in a single sort.
 
-Because (entity, t) is unique on the step grid, the row at ``t - k*step`` is never more than
-``k`` positions back, so it is inside the chunk or its halo: results equal the unchunked
-window exactly.  Run ``checks.assert_unique_grid`` first on untrusted input.
+That is one range exchange, one hash exchange and no join.  Because (entity, t) is unique on
+the step grid, the row at ``t - k*step`` is never more than ``k`` positions back, so it is
+inside the chunk or its halo: results equal the unchunked window exactly.  Run
+``checks.assert_unique_grid`` first on untrusted input.  All columns of ``df`` travel; pass
+narrow rows and join the result where rows are wide.
 """
 
 from __future__ import annotations
@@ -33,35 +35,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.operators.ordinal import literal_positions
 from panelcast.schema import LAG_STEPS, ROLL_WINDOWS
 
 CHUNK_ROWS = 1 << 20
-BUCKET_SLOTS = 4096
-
-
-def entity_positions(df: DataFrame, entity: str, t: str, step: int,
-                     bucket_slots: int = BUCKET_SLOTS, name: str = "_pos") -> DataFrame:
-    """0-based position of each row inside its entity in ``t`` order (two-phase, skew-safe)."""
-    tb = F.floor(F.col(t) / F.lit(step * bucket_slots)).cast("bigint")
-    base = df.withColumn("_tb", tb)
-    counts = base.groupBy(entity, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        entity, "_tb",
-        F.coalesce(F.sum("_cnt").over(Window.partitionBy(entity).orderBy("_tb")
-                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(entity, "_tb").orderBy(t))
-    return (base.join(offsets, [entity, "_tb"])
-            .withColumn(name, (F.col("_off") + rn - 1).cast("bigint"))
-            .drop("_tb", "_off"))
 
 
 def lag_block(df: DataFrame, entity: str, t: str, target: str, step: int,
               lags: Sequence[int] = LAG_STEPS, windows: Sequence[int] = ROLL_WINDOWS,
-              chunk_rows: int = CHUNK_ROWS, bucket_slots: int = BUCKET_SLOTS) -> DataFrame:
+              chunk_rows: int = CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
     """Add ``lag_k``, ``roll_mean_w`` and ``roll_std_w`` columns."""
     halo = max(list(lags) + list(windows) + [1])
     chunk = max(chunk_rows, halo)
-    pos = entity_positions(df, entity, t, step, bucket_slots)
+    pos = literal_positions(df, [entity, t], "_pos", partitions)
     own = F.floor(F.col("_pos") / chunk).cast("bigint")
     in_halo = (F.col("_pos") % chunk) >= chunk - halo
     rows = (pos.withColumn("_own", own)

@@ -26,13 +26,7 @@ def global_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "po
 
     ``order`` must be a total order (end it with a unique column) for a deterministic result.
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pc_pid", F.spark_partition_id())
-              .withColumn("_pc_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = sorted_table(df, order, partitions)
     counts = ranged.groupBy("_pc_pid").agg(F.count(F.lit(1)).alias("_pc_n"))
     # The count table has one row per partition: a window without partition keys is bounded here.
     offsets = counts.select(
@@ -44,6 +38,30 @@ def global_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "po
             .drop("_pc_pid", "_pc_mid", "_pc_off"))
 
 
+def sorted_table(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, written once, with each row's partition
+    (``_pc_pid``) and an id that grows inside it (``_pc_mid``)."""
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    return cut_lineage(df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
+                       .withColumn("_pc_pid", F.spark_partition_id())
+                       .withColumn("_pc_mid", F.monotonically_increasing_id()))
+
+
+def literal_positions(df: DataFrame, order: Sequence[str | Column], name: str = "pos",
+                      partitions: int | None = None) -> DataFrame:
+    """``global_ordinal`` for plans that go on: the partitions' first positions (one number per
+    partition, counted from the written table) are a literal array, so nothing is joined."""
+    ranged = sorted_table(df, order, partitions)
+    sizes = {r["_pc_pid"]: r["count"] for r in ranged.groupBy("_pc_pid").count().collect()}
+    starts = [0]
+    for pid in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(pid, 0))
+    first = F.element_at(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("_pc_pid") + 1)
+    return (ranged.withColumn(name, first + F.col("_pc_mid").bitwiseAND(F.lit(_LOW33)))
+            .drop("_pc_pid", "_pc_mid"))
+
+
 def dense_codes(values: DataFrame, value_col: str, name: str) -> DataFrame:
     """(value, code) with codes 0.. in ascending order of the distinct values (label encoding)."""
     distinct = values.select(value_col).distinct()

@@ -21,7 +21,7 @@ def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_la
     unlabelled rows, so every fit below (RoadType map, medians) sees labelled rows only and
     the lag block cannot read an unlabelled target.
     """
-    p = add_time_features(panel, spec)
+    p = timed = add_time_features(panel, spec)
     e, road = spec.entity, spec.road
     has_road = road in p.columns
     labelled = p.where(F.col(spec.split) == spec.labelled)
@@ -58,7 +58,10 @@ def build_base_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), with_la
     if "RoadType_le" in p.columns and "Weather_le" in p.columns:
         p = interaction_codes(p)
     if with_lags:
-        p = lag_block(p, spec.entity, "t", spec.target, spec.step_minutes)
+        # narrow rows go through the range exchange and the window, the wide ones only through this join
+        key = [spec.row_id, e, "t"]
+        lags = lag_block(timed.select(*key, spec.target), e, "t", spec.target, spec.step_minutes).drop(spec.target)
+        p = p.join(lags, key, "left").select(*p.columns, *[c for c in lags.columns if c not in key])
     return p
 
 

@@ -44,7 +44,7 @@ def test_chunking_matches_plain_window(spark):
         slots = sorted(rng.choice(400, size=120, replace=False))
         data += [(f"e{e}", int(s) * 15, None if rng.random() < 0.1 else float(rng.random())) for s in slots]
     df = spark.createDataFrame(data, "e string, t long, y double")
-    chunked = lag_block(df, "e", "t", "y", 15, chunk_rows=7, bucket_slots=5)
+    chunked = lag_block(df, "e", "t", "y", 15, chunk_rows=7, partitions=5)
     w = Window.partitionBy("e").orderBy("t")
     plain = df.select("e", "t", *[F.first("y").over(w.rangeBetween(-15 * k, -15 * k)).alias(f"lag_{k}")
                                   for k in (1, 2, 4, 96, 192)],
@@ -64,3 +64,14 @@ def test_no_unpartitioned_window(spark):
     df = spark.createDataFrame([("c", 0, 1.0)], "e string, t long, y double")
     plan = lag_block(df, "e", "t", "y", 15)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_one_entity_over_many_partitions(spark):
+    """Empty partitions, chunks smaller than the halo and an empty table."""
+    df = spark.createDataFrame([("c", s * 15, float(s)) for s in range(500)], "e string, t long, y double")
+    out = _rows(lag_block(df, "e", "t", "y", 15, lags=(1, 96), windows=(4,), chunk_rows=1, partitions=40))
+    assert len(out) == 500 and all(r["lag_1"] == (r["y"] - 1 if r["y"] else None) for r in out.values())
+    assert all(r["lag_96"] == (r["y"] - 96 if r["y"] >= 96 else None) for r in out.values())
+    assert out[499 * 15]["roll_mean_4"] == pytest.approx(496.5)
+    assert lag_block(df.limit(0), "e", "t", "y", 15).count() == 0

@@ -19,7 +19,7 @@ def test_future_labels_do_not_leak(spark, seed, cut):
 
     def feats(data):
         df = spark.createDataFrame(data, "e string, t long, y double")
-        out = lag_block(df, "e", "t", "y", 15, lags=(1, 2, 4, 96), windows=(4, 96), chunk_rows=16, bucket_slots=8)
+        out = lag_block(df, "e", "t", "y", 15, lags=(1, 2, 4, 96), windows=(4, 96), chunk_rows=16, partitions=8)
         return {(r["e"], r["t"]): r.asDict() for r in out.collect()}
 
     a, b = feats(rows), feats(perturbed)
