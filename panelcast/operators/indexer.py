@@ -67,9 +67,3 @@ def cell_table(df: DataFrame, entity: str = "geohash") -> DataFrame:
     lat, lon = decode_center(entity)
     return cells.select(entity, lat.alias("lat"), lon.alias("lon"),
                         prefix(entity, 4).alias("prefix4"), prefix(entity, 5).alias("prefix5"))
-
-
-def categorical_slots(feature_cols: Sequence[str], categorical: Sequence[str]) -> dict[int, str]:
-    """Position -> name of the features declared categorical (for the learner's metadata)."""
-    cat = set(categorical)
-    return {i: c for i, c in enumerate(feature_cols) if c in cat}
