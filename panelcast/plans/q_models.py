@@ -132,17 +132,13 @@ oof AS (
 
 def _oof(spark: SparkSession, sf_dir: str, runs=("full",)) -> DataFrame:
     feats = materialized_features(spark, sf_dir, SPEC)
-    lab = feats.where(F.col("split") == "train").select(F.col("Index").alias("row_id"), F.col("demand").alias("y"))
-    vr = (fold_rows(feats, SPEC, 5, include_test=False).where(F.col("role") == "val")
+    narrow = ["Index", "split", "demand", "day", "timestamp"]
+    lab = (feats.where((F.col("split") == "train") & F.col("Index").isNotNull())
+           .select(F.col("Index").alias("row_id"), F.col("demand").alias("y"), F.explode(F.array(*map(F.lit, runs))).alias("run")))
+    vr = (fold_rows(feats, SPEC, 5, include_test=False, columns=narrow).where(F.col("role") == "val")
           .select(F.col("Index").alias("row_id"), "fold"))
     preds = pr.predictions(spark, sf_dir, runs=runs).where(F.col("family") == "a")
-    out = None
-    for run in runs:
-        o = oof_assembly(preds.where(F.col("run") == run), vr, lab, "row_id").withColumn("run", F.lit(run))
-        o = o.join(lab, "row_id").join(preds.where(F.col("run") == run).select("row_id", "fold").distinct()
-                                       .join(vr, ["row_id", "fold"]), "row_id", "left")
-        out = o if out is None else out.unionByName(o)
-    return out
+    return oof_assembly(preds, vr, lab, "row_id", keep=["y"], by=["run"])
 
 
 @query("oof_r2", "M2 A27", _preds_sql(OOF_SQL.lstrip(",")) + f"""
