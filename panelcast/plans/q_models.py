@@ -12,7 +12,7 @@ from panelcast.operators.checks import duplicate_keys, id_report, range_report,
 from panelcast.operators.crossperiod import (calibrate, clip, median_ratio_baseline, seasonal_baseline,
                                              seasonal_fit, stack_ols)
 from panelcast.operators.lags import lag_block
-from panelcast.operators.rows import combine_rows
+from panelcast.operators.rows import combine_rows, join_rows
 from panelcast.operators.metrics import coverage, importance_share, inflation, lag_signal, r2, summary
 from panelcast.plans.catalog import query, rnd, rounded, rsql
 from panelcast.plans.encodings import cross_period_scale, fold_rows
@@ -82,12 +82,17 @@ cal AS (
 """
 
 
+def blended_test(panel: DataFrame, weights: DataFrame) -> DataFrame:
+    """(row_id, pred, geohash): the blended predictions of the unlabelled rows, found before the rows are
+    multiplied by family and fold."""
+    test = panel.where((F.col("split") == "test") & F.col("Index").isNotNull())
+    bl = blend(fold_average(pr.prediction_table(test, labelled_only=False)), weights)
+    return join_rows(bl, test.select(F.col("Index").alias("row_id"), "geohash"), ["row_id"])
+
+
 def _calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = fx.cell_panel(spark, sf_dir)
-    preds = pr.prediction_table(panel, labelled_only=False)
-    test_ids = panel.where(F.col("split") == "test").select(F.col("Index").alias("row_id"), "geohash")
-    fa = fold_average(preds.join(test_ids.select("row_id"), "row_id"))
-    bl = blend(fa, pr.weights_table(spark)).join(test_ids, "row_id")
+    bl = blended_test(panel, pr.weights_table(spark))
     scale = cross_period_scale(add_time_features(panel), SPEC)   # needs cell, hour, day, target only
     cal = calibrate(bl, scale, "geohash", "pred", alpha=0.2)
     return cal.select(F.col("row_id").alias("Index"), F.col("pred").alias("demand"))
