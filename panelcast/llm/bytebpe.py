@@ -6,6 +6,7 @@ The vocabulary file is a parameter (a path readable on every executor); nothing
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import json
 import re
@@ -81,6 +82,22 @@ def pretokens(text: str) -> list[str]:
     return _SPLIT.findall(text)
 
 
+def uncollected(fn):
+    """``fn`` without passes of the cyclic garbage collector: it makes hundreds of thousands of small lists, none
+    in a cycle, that live until it returns."""
+    @functools.wraps(fn)
+    def run(*args):
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return fn(*args)
+        finally:
+            if on:
+                gc.enable()
+
+    return run
+
+
 def merge_all(words: list[bytes], bpe: ByteBpe) -> list[bytes]:
     """Token ids (little-endian unsigned 32-bit) of each word, all words merged together.
 
@@ -108,7 +125,8 @@ def merge_all(words: list[bytes], bpe: ByteBpe) -> list[bytes]:
     order = np.argsort(rank, kind="stable")
     found, rank = found[order], rank[order]
     cuts = np.flatnonzero(np.diff(rank)) + 1
-    index = dict(zip(rank[np.r_[0, cuts]].tolist(), map(np.ndarray.tolist, np.split(found, cuts)))) if len(rank) else {}
+    ends, at = [*cuts.tolist(), len(found)], found.tolist()
+    index = {r: at[lo:hi] for r, lo, hi in zip(rank[np.r_[0, cuts]].tolist(), [0, *ends], ends)} if len(rank) else {}
 
     sym = ids.tolist()
     nxt = np.arange(1, n + 1)
@@ -118,12 +136,13 @@ def merge_all(words: list[bytes], bpe: ByteBpe) -> list[bytes]:
     nxt, prv = nxt.tolist(), prv.tolist()
     active = list(index)
     heapq.heapify(active)
-    ranks, size = bpe.ranks, bpe.size
+    rank_of, listed, size = bpe.ranks.get, index.get, bpe.size
     while active:
         r = heapq.heappop(active)
         positions = index.pop(r)
         positions.sort()
         a, b, c = bpe.left[r], bpe.right[r], bpe.merged[r]
+        row = c * size
         for i in positions:
             if sym[i] != a:
                 continue
@@ -131,21 +150,25 @@ def merge_all(words: list[bytes], bpe: ByteBpe) -> list[bytes]:
             if j < 0 or sym[j] != b:
                 continue
             k, h = nxt[j], prv[i]
-            sym[i], sym[j], nxt[i] = c, -1, k
+            sym[i] = c
+            sym[j] = -1
+            nxt[i] = k
             if k >= 0:
                 prv[k] = i
-                q = ranks.get(c * size + sym[k])
+                q = rank_of(row + sym[k])
                 if q is not None:
-                    if q in index:
-                        index[q].append(i)
+                    held = listed(q)
+                    if held is not None:
+                        held.append(i)
                     else:
                         index[q] = [i]
                         heapq.heappush(active, q)
             if h >= 0:
-                q = ranks.get(sym[h] * size + c)
+                q = rank_of(sym[h] * size + c)
                 if q is not None:
-                    if q in index:
-                        index[q].append(h)
+                    held = listed(q)
+                    if held is not None:
+                        held.append(h)
                     else:
                         index[q] = [h]
                         heapq.heappush(active, q)
@@ -175,6 +198,7 @@ class Encoder:
         self.bpe, self.value, self.limit = load(path), value, limit
         self.tokens: dict = {}   # pre-token -> value
         self.parts: dict = {}    # part after a space -> value, None if it must be seen in its text
+        self.opaque = False      # whether some part has None
 
     def _learn(self, words: set[str]) -> None:
         new = list(words.difference(self.tokens))
@@ -193,6 +217,7 @@ class Encoder:
             out = out + tokens[w]
         return out
 
+    @uncollected
     def pieces(self, texts: list[str], zero, special) -> list[list]:
         """For each text the list of values whose sum (in order) is the value of the text.
         ``special(id)`` is the value of an added token that stands in a text."""
@@ -204,18 +229,20 @@ class Encoder:
             else:
                 cut.append([t.split(" ")] if t else [])
         if len(self.parts) > self.limit:
-            self.parts = {}
+            self.parts, self.opaque = {}, False
         parts = self.parts
         new: set = set()
         for c in cut:
             for x in c:
                 if not isinstance(x, int):
                     new.update(x[1:])
-        new.difference_update(parts)
+        new = new.difference(parts)
         words_of, heads = {}, {}
         for p in new:
-            if not p or p[0].isspace() or p[-1].isspace():
-                parts[p] = None
+            if p.isascii() and p.isalpha():
+                words_of[p] = [" " + p]      # one run of letters
+            elif not p or p[0].isspace() or p[-1].isspace():
+                parts[p], self.opaque = None, True
             else:
                 words_of[p] = _SPLIT.findall(" " + p)
         for c in cut:
@@ -233,7 +260,7 @@ class Encoder:
                     got.append(special(x))
                     continue
                 tail = list(map(parts.__getitem__, x[1:]))
-                if None in tail or (tail and (not x[0] or x[0][-1].isspace())):
+                if (self.opaque and None in tail) or (tail and (not x[0] or x[0][-1].isspace())):
                     words = _SPLIT.findall(" ".join(x))
                     self._learn(set(words))
                 else:
