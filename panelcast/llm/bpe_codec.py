@@ -31,10 +31,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers."""
+def encode_texts(texts: list[str | None], path: str, limit: int = bytebpe.PARTS) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers; ``limit`` bounds the parts remembered."""
     bpe = bytebpe.load(path)
-    enc = bytebpe.encoder(path, "ids", lambda words: bytebpe.merge_all(words, bpe))
+    enc = bytebpe.encoder(path, "ids", lambda words: bytebpe.merge_all(words, bpe), limit)
     return [b"".join(p) for p in enc.pieces([t or "" for t in texts], b"", lambda i: i.to_bytes(4, "little"))]
 
 
@@ -58,11 +58,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text", keep:
     return _mapped(df, ids, keep, {out: "string"}, lambda vals: {out: [decode_ids(v or b"", path) for v in vals]})
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str | None = None) -> DataFrame:
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str | None = None,
+               limit: int = bytebpe.PARTS) -> DataFrame:
     """Encode and decode in one pass: n_tokens, ids_sha256 and decoded_sha256 beside ``keep``, and the ids
     themselves (binary) if ``ids`` names a column for them."""
     def digests(texts: list[str | None]) -> dict:
-        got = encode_texts(texts, path)
+        got = encode_texts(texts, path, limit)
         return ({ids: got} if ids else {}) | {
             "n_tokens": [len(i) // 4 for i in got],
             "ids_sha256": [hashlib.sha256(i).hexdigest() for i in got],
@@ -102,4 +103,4 @@ def _mapped(df: DataFrame, col: str, keep: list[str] | None, new: dict[str, str]
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document of ``documents``: number and hash of its ids, hash of the decoded text."""
-    return round_trip(table(spark, sf_dir, "documents"), vocabulary_path(), keep=["doc_id"])
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary_path(), keep=["doc_id"], limit=bytebpe.PARTS_ALONE)

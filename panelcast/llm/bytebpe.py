@@ -20,6 +20,9 @@ from panelcast.llm.common import own_memory
 # Fixed value: the published split rule of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPLIT = regex.compile(SPLIT)
+#: Parts that a process remembers beside other work, and where encoding is all it does: a memory smaller than the
+#: words of the texts starts anew again and again, and almost every word is then merged each time.
+PARTS, PARTS_ALONE = 250_000, 600_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -192,7 +195,7 @@ class Encoder:
     beyond that it starts anew, which costs time only.
     """
 
-    def __init__(self, path: str, value, limit: int = 250_000):
+    def __init__(self, path: str, value, limit: int = PARTS):
         """``value(list of pre-token bytes) -> list`` gives what is kept for each pre-token;
         values of consecutive pre-tokens are added with ``+``."""
         self.bpe, self.value, self.limit = load(path), value, limit
@@ -277,9 +280,10 @@ class Encoder:
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, kind: str, value) -> Encoder:
-    """The process-wide encoder for a file and a kind of value."""
+def encoder(path: str, kind: str, value, limit: int = PARTS) -> Encoder:
+    """The process-wide encoder for a file and a kind of value; ``limit`` bounds its memory from this call on."""
     own_memory("bytebpe", _ENCODERS.clear)
     if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = Encoder(path, value)
+        _ENCODERS[path, kind] = Encoder(path, value, limit)
+    _ENCODERS[path, kind].limit = limit
     return _ENCODERS[path, kind]

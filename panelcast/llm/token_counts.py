@@ -34,7 +34,7 @@ def prove_whole_tokens(path: str) -> frozenset[str]:
     return frozenset(w for w, i, got in zip(words, ids, bytebpe.merge_all([w.encode() for w in words], bpe)) if got == i)
 
 
-def count_texts(texts: list[str | None], path: str, proven: frozenset[bytes]) -> list[int]:
+def count_texts(texts: list[str | None], path: str, proven: frozenset[bytes], limit: int = bytebpe.PARTS) -> list[int]:
     bpe = bytebpe.load(path)
 
     def value(words: list[bytes]) -> list[int]:
@@ -42,11 +42,12 @@ def count_texts(texts: list[str | None], path: str, proven: frozenset[bytes]) ->
         merged = dict(zip(rest, (len(i) // 4 for i in bytebpe.merge_all(rest, bpe))))
         return [merged.get(w, 1) for w in words]
 
-    enc = bytebpe.encoder(path, "counts", value)
+    enc = bytebpe.encoder(path, "counts", value, limit)
     return [sum(p) for p in enc.pieces([t or "" for t in texts], 0, lambda i: 1)]
 
 
-def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 512, keep: list[str] | None = None) -> DataFrame:
+def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 512, keep: list[str] | None = None,
+                 parts: int = bytebpe.PARTS) -> DataFrame:
     """``keep`` columns plus n_bytes, n_tokens and over_limit (n_tokens > ``limit``).
 
     The proven strings are broadcast; their number is bounded by the vocabulary."""
@@ -54,7 +55,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 512,
     proven = spark.sparkContext.broadcast(frozenset(w.encode() for w in prove_whole_tokens(path)))
 
     def run(texts: list[str | None]) -> dict:
-        counts = count_texts(texts, path, proven.value)
+        counts = count_texts(texts, path, proven.value, parts)
         return {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": counts, "over_limit": [n > limit for n in counts]}
 
     return _mapped(df, text, keep, {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}, run)
@@ -62,4 +63,4 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 512,
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
-    return count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), keep=["doc_id"])
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), keep=["doc_id"], parts=bytebpe.PARTS_ALONE)

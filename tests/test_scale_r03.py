@@ -49,3 +49,19 @@ def test_encoder_runs_without_the_collector():
     got = [sum(p) for p in enc.pieces(texts, 0, lambda i: 1)]
     assert seen and not any(seen) and gc.isenabled() and enc.opaque
     assert got == [len(i) // 4 for i in bpe_codec.encode_texts(texts, path)]
+
+
+def test_encoder_memory_holds_the_words_of_the_texts():
+    """op3, op7: words are merged once while they fit ``limit``, which each call may set."""
+    from panelcast.llm import bpe_codec, bytebpe
+    path, merged = bpe_codec.vocabulary_path(), []
+
+    def value(words):
+        merged.extend(words)
+        return [1] * len(words)
+
+    bytebpe.encoder(path, "test", value, 8)
+    for batch in (["x " + " ".join("abcdefghij")], ["x k l m"], ["x " + " ".join("abcdefghij")]):
+        bytebpe.encoder(path, "test", value, 100).pieces(batch, 0, lambda i: 1)
+    assert len(merged) == len(set(merged)) == 14
+    bytebpe._ENCODERS.pop((path, "test"))
