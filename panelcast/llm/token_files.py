@@ -20,10 +20,13 @@ loss of its executor leaves the same file.  The folder must be one that all exec
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +49,57 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: The rule by which ``word_bpe_49k.json`` makes pre-tokens, and what it does to a text before.
+SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMAL_FORM = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: A part of Latin letters with or without other signs behind them, or anything else.  The apostrophe is not
+#: among the signs, as it binds letters; a mark that could change the letter before it is not ASCII.
+LETTERS_AND_SIGNS = re.compile(r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)$|^.*$", re.MULTILINE)
+
+
+class IdMemory:
+    """The ids of many strings in one array: string -> its place, place -> (start, number of ids)."""
+
+    def __init__(self, dtype: np.dtype):
+        self.place: dict[str, int] = {}
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool, self.used = np.zeros(4096, dtype), 0
+
+    def add(self, strings: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Strings not seen before with their ids, one string's after the other's."""
+        first = len(self.place)
+        last, used = first + len(strings), self.used + len(flat)
+        self.place.update(zip(strings, range(first, last)))
+        self.start, self.size, self.pool = _room(self.start, last), _room(self.size, last), _room(self.pool, used)
+        self.start[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.size[first:last] = sizes
+        self.pool[self.used:used] = flat
+        self.used = used
+
+    def places(self, strings: Sequence[str]) -> np.ndarray:
+        """The place of every string, -1 for one not seen before."""
+        return np.fromiter(map(self.place.get, strings, itertools.repeat(-1)), np.int64, len(strings))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings at ``places``, and how many each has."""
+        start, size = self.start[places], self.size[places]
+        ends = np.cumsum(size)
+        return self.pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
+
+
 class ChunkEncoder:
     """Ids of texts by the tokenizers library, with a memory of parts already encoded.
 
     Only for tokenizers whose pre-tokens never hold white space: a text is then the sequence of
     its parts between ASCII white space, each encoded alone.  The memory is bounded by ``limit``
-    parts; beyond that it starts anew, which costs time only."""
+    parts; beyond that it starts anew, which costs time only.
+
+    Under ``SPLIT_RULE`` and ``NORMAL_FORM`` a part of Latin letters with signs behind them is two pre-tokens,
+    whose normal form is their lower case.  Such parts share the ids of their pre-tokens, and the library's
+    model takes these without looking for a normal form and for cuts again."""
 
     def __init__(self, path: str, limit: int = 1_000_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tok, self.limit = Tokenizer.from_file(path), limit
@@ -64,42 +109,58 @@ class ChunkEncoder:
         if probe != [i for c in "abc" for i in self.tok.encode(c, add_special_tokens=False).ids]:
             raise ValueError(f"{path}: its tokens hold white space, parts can't be encoded alone")
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-
+        rules = json.loads(self.tok.to_str())
+        split, *bytes_ = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.model = None
+        if ((rules["normalizer"] or {}).get("normalizers") == NORMAL_FORM and split.get("pattern") == {"Regex": SPLIT_RULE}
+                and (split["behavior"], split["invert"]) == ("Removed", True)
+                and [(b["type"], b["add_prefix_space"], b["use_regex"]) for b in bytes_] == [("ByteLevel", False, False)]
+                and all(t["special"] and not t["single_word"] and not t["content"].isalpha() for t in rules["added_tokens"])):
+            self.model = Tokenizer.from_str(self.tok.to_str())
+            self.model.normalizer = None
+            self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.forget()
 
     def forget(self) -> None:
-        """Start anew: part -> its place in ``pool``, as (start, number of ids)."""
-        self.known: dict[str, int] = {}
-        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.pool, self.used = np.zeros(4096, self.dtype), 0
+        """Start anew."""
+        self.known, self.pieces = IdMemory(self.dtype), IdMemory(self.dtype)
+
+    def library(self, tok, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``strings``, one string's after the other's, and how many each has."""
+        found = tok.encode_batch_fast(strings, add_special_tokens=False)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(e.ids for e in found), self.dtype, int(sizes.sum())), sizes
 
     def learn(self, parts: list[str]) -> None:
-        ids = [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
-        first, sizes = len(self.known), np.array([len(x) for x in ids], np.int64)
-        self.known.update(zip(parts, range(first, first + len(parts))))
-        self.start, self.size = _room(self.start, first + len(parts)), _room(self.size, first + len(parts))
-        self.start[first:first + len(parts)] = self.used + np.cumsum(sizes) - sizes
-        self.size[first:first + len(parts)] = sizes
-        self.pool = _room(self.pool, self.used + int(sizes.sum()))
-        self.pool[self.used:self.used + int(sizes.sum())] = np.concatenate(ids) if ids else []
-        self.used += int(sizes.sum())
+        if self.model:
+            heads, tails = zip(*LETTERS_AND_SIGNS.findall("\n".join(parts)))
+            both = [w for w, head in zip(parts, heads) if head]
+            pieces = [""] * (2 * len(both))
+            pieces[::2] = "\n".join(filter(None, heads)).lower().split("\n") if both else []
+            pieces[1::2] = itertools.compress(tails, heads)
+            new = [p for p in dict.fromkeys(pieces) if p not in self.pieces.place]
+            self.pieces.add(new, *self.library(self.model, new))
+            flat, sizes = self.pieces.ids(self.pieces.places(pieces))
+            self.known.add(both, flat, sizes[::2] + sizes[1::2])
+            parts = [w for w, head in zip(parts, heads) if not head]
+        self.known.add(parts, *self.library(self.tok, parts))
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of every text.  Texts are cut into parts and the parts numbered by Arrow; Python sees every
         different part once, and numpy gathers the ids."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         parts = split.flatten().dictionary_encode()
-        words = parts.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
+        words = parts.dictionary.to_numpy(zero_copy_only=False)
+        places = self.known.places(words)
+        new = places < 0
+        if len(self.known.place) + np.count_nonzero(new) > self.limit:
             self.forget()
-            new = words
-        if new:
-            self.learn(new)
-        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[parts.indices.to_numpy()]
-        start, size = self.start[place], self.size[place]
+            new[:] = True
+        if new.any():
+            self.learn(words[new].tolist())
+            places[new] = self.known.places(words[new])
+        flat, size = self.known.ids(places[parts.indices.to_numpy()])
         ends = np.cumsum(size)
-        flat = self.pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
         return np.split(flat, np.r_[0, ends][cuts[1:-1]]) if len(cuts) > 1 else []
 

@@ -65,3 +65,24 @@ def test_encoder_memory_holds_the_words_of_the_texts():
         bytebpe.encoder(path, "test", value, 100).pieces(batch, 0, lambda i: 1)
     assert len(merged) == len(set(merged)) == 14
     bytebpe._ENCODERS.pop((path, "test"))
+
+
+def test_parts_share_the_ids_of_their_letters():
+    """op1: a part of letters and signs is two pre-tokens; each is put to the library once, whatever parts it stands in."""
+    import pyarrow as pa
+
+    from panelcast.llm import token_files
+
+    enc = token_files.ChunkEncoder(token_files.vocabulary_path())
+    words, signs = ["Über", "über", "the", "ÀÉ", "don", "naïve"], ["", ".", ",", "!!", "$%&", "-(", "'", "'s", "'S.", "1", ".a", "…", "́", "|>", "İ", "’"]
+    odd = ["<|endoftext|>", "a<|endoftext|>", "é\x1c", "é.", "xͅ,", "..", "K", "a\x0b.", "l m", "ŉ.", "ß,", "a<|ENDOFTEXT|>"]
+    texts = [w + s for w in words for s in signs] + odd + [" ".join(w + s for w in words for s in signs + odd)]
+    put = []
+    ask = enc.library
+    enc.library = lambda tok, strings: put.extend(strings) or ask(tok, strings)
+    for t, got in zip(texts, enc(pa.array(texts))):
+        assert got.tolist() == enc.tok.encode(t, add_special_tokens=False).ids, t
+    assert put.count("über") == put.count("the") == put.count("!!") == 1 and not {"the.", "the!!", "Über", "Über."} & set(put) and {"über", "the", ".", "!!"} <= set(put)
+    small = token_files.ChunkEncoder(token_files.vocabulary_path(), limit=8)          # starts anew again and again
+    for t in texts:
+        assert small(pa.array([t, None, ""]))[0].tolist() == enc.tok.encode(t, add_special_tokens=False).ids
